@@ -1,12 +1,12 @@
 """Column helpers: exact money, time, nested fields."""
 
-from tillflow.functions.money import exact, mean_of, ratio, sum_of, total_of
+from tillflow.functions.money import exact_sum, mean_of, quotient, ratio, sum_of, total_of
 from tillflow.functions.nested import each_item, item_rows, parse_json
 from tillflow.functions.times import from_micros, in_year, in_years, month_of, seconds_between
 
 __all__ = [
     "each_item",
-    "exact",
+    "exact_sum",
     "from_micros",
     "in_year",
     "in_years",
@@ -14,6 +14,7 @@ __all__ = [
     "mean_of",
     "month_of",
     "parse_json",
+    "quotient",
     "ratio",
     "seconds_between",
     "sum_of",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions import in_year, in_years, month_of, total_of
+from tillflow.functions import exact_sum, in_year, in_years, month_of, total_of
 from tillflow.operators.ordered import attach, percentile_by, previous_value, running_sum
 from tillflow.operators.rows import first_rows, repeated, streaks, without
 
@@ -68,11 +68,11 @@ def customers_without_orders(customers: DataFrame, orders: DataFrame, year: int)
 def category_growth(sales: DataFrame, products: DataFrame, year: int) -> DataFrame:
     """Categories that sold more in ``year`` than in the year before, sold in both."""
     names = {year: f"sales_{year}", year - 1: f"sales_{year - 1}"}
-    amount = F.col("amount").cast("decimal(20,6)")
+    amount = F.col("amount")
     per_product = (
         sales.where(in_years("sale_date", year - 1, year))
         .groupBy("product_id")
-        .agg(*[F.sum(F.when(in_year("sale_date", y), amount)).alias(n) for y, n in names.items()])
+        .agg(*[exact_sum(F.when(in_year("sale_date", y), amount)).alias(n) for y, n in names.items()])
     )
     now, before = names[year], names[year - 1]
     return (

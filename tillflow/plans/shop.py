@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tillflow.functions import (
     each_item,
+    exact_sum,
     item_rows,
     mean_of,
     month_of,
+    quotient,
     ratio,
     seconds_between,
     sum_of,
@@ -196,17 +198,26 @@ def coupon_split(sales: DataFrame) -> DataFrame:
 
 
 def _per_product(sales: DataFrame) -> DataFrame:
+    """One row per item. Names are grouped first: a minimum of text next to the sums
+    would sort all lines instead of hashing them."""
     fields = ["item_id", "item_name", "quantity", "item_revenue_in_usd", "price_in_usd"]
-    return (
+    named = (
         each_item(sales, fields)
-        .groupBy("item_id")
+        .groupBy("item_id", "item_name")
         .agg(
-            F.min("item_name").alias("item_name"),
-            F.sum("quantity").alias("qty"),
-            sum_of("item_revenue_in_usd").alias("rev"),
-            mean_of("price_in_usd").alias("avg_price"),
+            F.sum("quantity").alias("_qty"),
+            exact_sum("item_revenue_in_usd").alias("_rev"),
+            exact_sum("price_in_usd").alias("_paid"),
+            F.count("price_in_usd").alias("_prices"),
         )
     )
+    price = quotient(F.sum("_paid"), F.sum("_prices"))
+    return named.groupBy("item_id").agg(
+        F.min("item_name").alias("item_name"),
+        F.sum("_qty").alias("qty"),
+        F.round(F.sum("_rev"), 2).cast("double").alias("rev"),
+        F.round(price, 2).cast("double").alias("avg_price"),
+    )
 
 
 def product_stats(sales: DataFrame) -> DataFrame:

@@ -151,17 +151,16 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
 
     Some line ids repeat in the data, so there is something to de-duplicate.
     """
-    lines = table(spark, folder, "lineitem").withColumn("items", _line_items())
     return (
         table(spark, folder, "orders")
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(table(spark, folder, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .select(
             F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("order_id"),
             _email("o_custkey").alias("email"),
             F.col("o_orderdate").alias("transaction_timestamp"),
             F.col("l_extendedprice").alias("purchase_revenue_in_usd"),
             F.col("l_quantity").cast("bigint").alias("total_item_quantity"),
-            "items",
+            F.when(F.col("l_orderkey").isNotNull(), _line_items()).alias("items"),
         )
     )
 
