@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Hash instead of sort where every shuffled partition is known to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
