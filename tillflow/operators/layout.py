@@ -15,14 +15,17 @@ def compact(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.hint("rebalance", *(columns or []))
 
 
-def cluster_by(df: DataFrame, columns: list[str], within: list[str] | None = None) -> DataFrame:
+def cluster_by(
+    df: DataFrame, columns: list[str], within: list[str] | None = None, files: int | None = None
+) -> DataFrame:
     """Order rows along a Z-curve over ``columns``, inside each value of ``within``.
 
     Each column is replaced by its rank among about 2**RANK_BITS marks, which are
     distinct values picked by their hash, hence spread evenly over the distinct
     values. The rank keeps the order of the column, so the minimum and maximum
     that files store per column become narrow. The columns themselves end the
-    sort key and split a curve cell that holds many rows.
+    sort key and split a curve cell that holds many rows. ``files`` fixes the number
+    of slices; by default the runtime chooses it by size.
     """
     distinct = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
     strides = {
@@ -47,7 +50,8 @@ def cluster_by(df: DataFrame, columns: list[str], within: list[str] | None = Non
     )
     curve = ranked.withColumn("_z", interleave([F.col(f"_rank_{c}") for c in columns]))
     key = [*(within or []), "_z", *columns]
-    return curve.repartitionByRange(*key).sortWithinPartitions(*key).select(*df.columns)
+    sliced = curve.repartitionByRange(*([files] if files else []), *key)
+    return sliced.sortWithinPartitions(*key).select(*df.columns)
 
 
 def interleave(ranks: list[Column], bits: int = RANK_BITS) -> Column:
