@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.operators.ordered import rank_among
+from tillflow.operators.ordered import rank_among, search_steps
 
 RANK_BITS = 10
 
@@ -38,12 +38,19 @@ def cluster_by(
             for c in columns
         ]
     )
-    marked = df.withColumns({f"_marks_{c}": marks.select(c).scalar() for c in columns})
+    searched = marks.withColumns({f"_steps_{c}": search_steps(F.col(c)) for c in columns})
+    marked = df.withColumns(
+        {
+            name: searched.select(source).scalar()
+            for c in columns
+            for name, source in ((f"_marks_{c}", c), (f"_steps_{c}", f"_steps_{c}"))
+        }
+    )
     top = (1 << RANK_BITS) - 1
     ranked = marked.withColumns(
         {
             f"_rank_{c}": F.when(F.col(c).isNull(), 0).otherwise(
-                F.least(F.lit(top), rank_among(F.col(f"_marks_{c}"), F.col(c)))
+                F.least(F.lit(top), rank_among(F.col(f"_marks_{c}"), F.col(f"_steps_{c}"), F.col(c)))
             )
             for c in columns
         }
