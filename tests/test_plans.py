@@ -58,6 +58,13 @@ def test_conversion_is_one_pass_without_expand(spark):
     assert "hashpartitioning(traffic_source#" in text and "user_id#" in text
 
 
+def test_distinct_orders_of_a_hot_buyer_are_spread(spark):
+    """The first shuffle goes by buyer and order, the second sees one row per buyer and task."""
+    text = plan(registry.QUERIES["nb_clv"](spark, FOLDER))
+    first = text.rindex("Exchange hashpartitioning")
+    assert "order_id" in text[first : first + 120]
+
+
 def test_top_k(spark):
     assert "TakeOrderedAndProject" in plan(shop.best_customers(retail.purchases(spark, FOLDER)))
 

@@ -20,12 +20,12 @@ def cluster_by(
 ) -> DataFrame:
     """Order rows along a Z-curve over ``columns``, inside each value of ``within``.
 
-    Each column is replaced by its rank among about 2**RANK_BITS marks, which are
-    distinct values picked by their hash, hence spread evenly over the distinct
-    values. The rank keeps the order of the column, so the minimum and maximum
+    Each column is replaced by its rank among some hundred marks, which are distinct
+    values picked by their hash, hence spread evenly over the distinct values. The rank keeps the order of the column, so the minimum and maximum
     that files store per column become narrow. The columns themselves end the
-    sort key and split a curve cell that holds many rows. ``files`` fixes the number
-    of slices; by default the runtime chooses it by size.
+    sort key and, with a hash of the other columns, split a curve cell that holds
+    many rows. ``files`` fixes the number of slices; by default the runtime
+    chooses it by size.
     """
     distinct = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
     strides = {
@@ -57,7 +57,10 @@ def cluster_by(
     )
     curve = ranked.withColumn("_z", interleave([F.col(f"_rank_{c}") for c in columns]))
     key = [*(within or []), "_z", *columns]
-    sliced = curve.repartitionByRange(*([files] if files else []), *key)
+    unhashable = ("map<", "variant")
+    others = [c for c, kind in df.dtypes if c not in key and not any(u in kind for u in unhashable)]
+    spread = [F.xxhash64(*others)] if others else []
+    sliced = curve.repartitionByRange(*([files] if files else []), *key, *spread)
     return sliced.sortWithinPartitions(*key).select(*df.columns)
 
 

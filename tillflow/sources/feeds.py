@@ -13,6 +13,7 @@ from tillflow import schemas
 from tillflow.functions import from_micros, parse_json
 
 NULL_TEXT = "null"
+ROWS_PER_FILE = 200_000
 
 
 def read_csv(
@@ -34,8 +35,9 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_feed(spark: SparkSession, folder: str, feed: str) -> DataFrame:
-    return read_csv(spark, f"{folder}/{feed}.csv", schemas.FEEDS[feed])
+def read_feed(spark: SparkSession, folder: str, feed: str, multi_line: bool = True) -> DataFrame:
+    """``multi_line=False`` lets Spark split large files; only for feeds without line breaks in fields."""
+    return read_csv(spark, f"{folder}/{feed}.csv", schemas.FEEDS[feed], multi_line=multi_line)
 
 
 def read_raw(spark: SparkSession, folder: str, feed: str) -> DataFrame:
@@ -55,11 +57,10 @@ def csv_table(spark: SparkSession, name: str, path: str, schema: str) -> DataFra
     return spark.table(name)
 
 
-def write_feed(df: DataFrame, folder: str, feed: str) -> None:
-    """Write a feed in the form ``read_feed`` reads."""
-    df.write.mode("overwrite").options(header=True, escape='"', nullValue=NULL_TEXT).csv(
-        f"{folder}/{feed}.csv"
-    )
+def write_feed(df: DataFrame, folder: str, feed: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write a feed in the form ``read_feed`` reads, as files that one task each can read."""
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    writer.options(header=True, escape='"', nullValue=NULL_TEXT).csv(f"{folder}/{feed}.csv")
 
 
 def typed_events(feed: DataFrame) -> DataFrame:
@@ -90,6 +91,6 @@ TYPED = {
 }
 
 
-def bronze(spark: SparkSession, folder: str, feed: str) -> DataFrame:
+def bronze(spark: SparkSession, folder: str, feed: str, multi_line: bool = True) -> DataFrame:
     """A typed feed straight from its CSV files."""
-    return TYPED[feed](read_feed(spark, folder, feed))
+    return TYPED[feed](read_feed(spark, folder, feed, multi_line))
