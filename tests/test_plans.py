@@ -65,6 +65,11 @@ def test_distinct_orders_of_a_hot_buyer_are_spread(spark):
     assert "order_id" in text[first : first + 120]
 
 
+def test_places_are_joined_only_when_read(spark):
+    for name, joins in {"nb_monthly_events": False, "nb_revenue_per_source": False, "nb_revenue_by_state": True}.items():
+        assert ("Join" in plan(registry.QUERIES[name](spark, FOLDER))) is joins, name
+
+
 def test_top_k(spark):
     assert "TakeOrderedAndProject" in plan(shop.best_customers(retail.purchases(spark, FOLDER)))
 

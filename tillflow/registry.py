@@ -135,7 +135,10 @@ def _shop_tables(spark, folder):
 
 @query
 def nb_table_counts(spark, folder):
-    return overview.table_counts(_shop_tables(spark, folder))
+    stored = {"users": "customer", "sales": "orders", "products": "part", "events": "events"}
+    return overview.table_counts(
+        {name: retail.table(spark, folder, source) for name, source in stored.items()}
+    )
 
 
 @query
