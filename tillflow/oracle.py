@@ -374,7 +374,7 @@ _QUERIES = {
         SELECT 'users' AS "table", count(*) AS rows, CAST(0 AS BIGINT) AS null_texts FROM customer
         UNION ALL SELECT 'products', count(*), 0 FROM part
         UNION ALL SELECT 'sales', count(*),
-               CAST(4 * count(*) FILTER (WHERE l_orderkey IS NULL) AS BIGINT) FROM v_sales
+               CAST(3 * count(*) FILTER (WHERE l_orderkey IS NULL) AS BIGINT) FROM v_sales
         UNION ALL SELECT 'events', count(*),
                count(*) FILTER (WHERE user_id IS NULL) + count(*) FILTER (WHERE traffic_source IS NULL)
                + count(*) FILTER (WHERE basket IS NULL) FROM v_events""",
@@ -382,7 +382,7 @@ _QUERIES = {
         SELECT {_EVENT}, {_TIMES}, city, state, {_FIGURES}, basket, CAST(basket_size AS INTEGER) AS basket_size
         FROM v_events""",
     "bronze_sales": """
-        SELECT order_id, email, transaction_timestamp, price_in_usd AS purchase_revenue_in_usd,
+        SELECT order_id, email, transaction_timestamp, coalesce(price_in_usd, 0) AS purchase_revenue_in_usd,
                quantity AS total_item_quantity, item_id || 'x' || CAST(quantity AS VARCHAR) AS basket,
                CASE WHEN l_orderkey IS NOT NULL THEN 1 END AS basket_size
         FROM v_sales""",

@@ -148,7 +148,7 @@ def baskets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with their buyer; an order without lines has NULL items and no id.
+    """Order lines with their buyer; an order without lines has no items, id or revenue.
 
     Some line ids repeat in the data, so there is something to de-duplicate. Lines
     and empty orders are joined apart: Spark can split a key with many lines in an
@@ -157,6 +157,7 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
     heads = table(spark, folder, "orders")
     buyer = {"email": _email("o_custkey"), "transaction_timestamp": F.col("o_orderdate")}
+    nothing = {**buyer, "purchase_revenue_in_usd": F.lit(0.0)}
     sold = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("order_id"),
         *[column.alias(name) for name, column in buyer.items()],
@@ -166,7 +167,7 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     )
     empty = without(heads, lines.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey").select(
         *[
-            F.lit(None).cast(f.dataType).alias(f.name) if f.name not in buyer else buyer[f.name].alias(f.name)
+            nothing.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
             for f in sold.schema.fields
         ]
     )
