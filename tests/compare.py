@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 import math
-import os
 from decimal import Decimal
 
 import duckdb

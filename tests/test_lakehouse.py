@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tillflow.lakehouse import Lakehouse
 from tillflow.operators.layout import cluster_by, interleave
+from tillflow.plans.layers import VALID_USER
 from tillflow.session import shared_dir
 
 
@@ -35,6 +36,19 @@ def test_overwrite_replaces_schema_and_history_grows(spark, lake):
     assert '"name":"name"' in log[1].schema_json
 
 
+def test_empty_tables(spark, lake):
+    empty = spark.range(5).selectExpr("string(id) AS user_id", "'m' AS month").where("user_id = 'none'")
+    assert lake.write(empty, "bronze.nobody", rules=[VALID_USER]).count() == 0
+    laid = {"partition_by": ["month"], "cluster_by": ["user_id"]}
+    assert lake.write(empty, "gold.nobody", rules=[VALID_USER], **laid).count() == 0
+    assert {(r.rows, r.violations["valid_user"]) for r in lake.history().collect()} == {(0, 0)}
+
+
+def test_rows_per_file(spark, lake):
+    stored = lake.write(spark.range(100), "bronze.many", rows_per_file=10)
+    assert len(stored.inputFiles()) >= 10 and stored.count() == 100
+
+
 def test_table_listing(spark, lake):
     lake.write(spark.range(2), "bronze.a")
     lake.write(spark.range(2), "gold.b")
