@@ -100,7 +100,9 @@ def test_churn_counts_changes(spark):
     df = spark.createDataFrame(
         [(i, u, s, ts(t)) for i, u, s, t in steps], "event_id int, user_id string, status string, date timestamp"
     )
-    assert sorted(company.monthly_churn(df).collect()) == [("2024-01", 2), ("2024-02", 1)]
+    for frame, tie_break in ((df, "event_id"), (df.drop("event_id"), "status")):
+        churn = company.monthly_churn(frame, tie_break)
+        assert sorted(churn.collect()) == [("2024-01", 2), ("2024-02", 1)]
 
 
 def test_streak_over_month_end(spark):

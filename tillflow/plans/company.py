@@ -91,8 +91,11 @@ def category_growth(sales: DataFrame, products: DataFrame, year: int) -> DataFra
     )
 
 
-def monthly_churn(subscriptions: DataFrame, tie_break: str = "event_id") -> DataFrame:
-    """Changes from active to cancelled per month, counted per change and not per user."""
+def monthly_churn(subscriptions: DataFrame, tie_break: str = "status") -> DataFrame:
+    """Changes from active to cancelled per month, counted per change and not per user.
+
+    ``tie_break`` orders the changes of one moment; without an id, active comes first.
+    """
     steps = previous_value(subscriptions, ["user_id"], ["date", tie_break], "status", "before")
     return (
         steps.where((F.col("status") == "cancelled") & (F.col("before") == "active"))

@@ -85,7 +85,7 @@ def sql06_category_growth(spark, folder):
 
 @query
 def sql07_monthly_churn(spark, folder):
-    return company.monthly_churn(retail.subscriptions(spark, folder))
+    return company.monthly_churn(retail.subscriptions(spark, folder), tie_break="event_id")
 
 
 @query
