@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import exact
+from tillflow.llm import exact, outliers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op6_robust_outliers(spark, folder):
+    return outliers.rate(table(spark, folder, "documents"))
+
+
 @query
 def op10_exact_dedup(spark, folder):
     return exact.find_copies(table(spark, folder, "documents"))
