@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import exact, outliers
+from tillflow.llm import exact, mixing, outliers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,11 @@ def op6_robust_outliers(spark, folder):
     return outliers.rate(table(spark, folder, "documents"))
 
 
+@query
+def op8_golden_ratio_mix(spark, folder):
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 @query
 def op10_exact_dedup(spark, folder):
     return exact.find_copies(table(spark, folder, "documents"))
