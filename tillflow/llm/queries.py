@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tillflow.llm import exact, mixing, outliers
+from tillflow.llm import bitplane, exact, mixing, outliers, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +21,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file; it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op4_bit_planes(spark, folder):
+    docs = table(spark, folder, "documents")
+    return bitplane.round_trip(spark, docs, vocabulary("byte_bpe_50k.json"))
+
+
+@query
+def op5_sum_of_squares(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 @query
 def op6_robust_outliers(spark, folder):
     return outliers.rate(table(spark, folder, "documents"))
