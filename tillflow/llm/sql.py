@@ -4,7 +4,24 @@ from __future__ import annotations
 
 import string
 
+BASE32 = string.ascii_uppercase + "234567"
+
 SQL: dict[str, str] = {
+    # Base 32 of a SHA-1: every five hexadecimal digits are four characters.
+    "op2_warc_chunks": f"""
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+                max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top
+            FROM pages
+        )
+        SELECT page_id, payload_bytes,
+            list_aggregate(list_transform(range(32), lambda i: substr('{BASE32}', 1 + (
+                (('0x' || substr(hex, (i // 4) * 5 + 1, 5))::INT >> (15 - 5 * (i % 4))) & 31)::INT, 1)),
+                'string_agg', '') AS payload_digest,
+            CASE WHEN page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+        FROM payloads
+    """,
     "op10_exact_dedup": f"""
         WITH normal AS (
             SELECT doc_id, translate(coalesce(text, ''),
