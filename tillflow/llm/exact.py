@@ -74,6 +74,30 @@ def maybe_repeated(
     return df.select(*columns, (hits[0] & hits[1]).alias(into))
 
 
+def maybe_among(df: DataFrame, id_column: str, ids: DataFrame, into: str) -> DataFrame:
+    """Add whether the id may be in ``ids`` (one column, stored, distinct), by a bitmap."""
+    name = ids.columns[0]
+    bits = min(max(ids.count() * BITS_A_ROW, 1 << 15), MOST_BITS)
+    cell = lambda column: F.pmod(F.xxhash64(F.col(column).cast("bigint")), F.lit(bits))
+    bitmaps = ids.groupBy(F.bitmap_bucket_number(cell(name)).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(cell(name))).alias("bits")
+    )
+    bucket, found = fresh(df, "_bucket", "_bits")
+    side = stored(bitmaps, "id-filter").withColumnsRenamed({"bucket": bucket, "bits": found})
+    joined = df.join(F.broadcast(side), F.bitmap_bucket_number(cell(id_column)) == F.col(bucket), "left")
+    hit = F.coalesce(in_bitmap(F.col(found), cell(id_column)), F.lit(False))
+    return joined.select(*df.columns, hit.alias(into))
+
+
+def without(docs: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
+    """``docs`` without the ids in ``ids``; only rows that the bitmap can't clear meet a join."""
+    maybe, same = fresh(docs, "_maybe", "_same")
+    marked = maybe_among(docs, id_column, ids, maybe)
+    side = ids.select(F.col(ids.columns[0]).alias(same))
+    left = marked.where(F.col(maybe)).join(side, F.col(id_column) == F.col(same), "left_anti")
+    return marked.where(~F.col(maybe)).select(docs.columns).unionByName(left.select(docs.columns))
+
+
 def resolve(
     rows: DataFrame, id_column: str, hash_column: str, row_column: str, names: tuple[str, str, str]
 ) -> DataFrame:

@@ -228,3 +228,19 @@ def mix(docs: DataFrame) -> DataFrame:
         "target",
         F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
     )
+
+
+def repeat_rows(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, to the nearest whole number."""
+    times, row = fresh(docs, "_times", "row")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    light = numbered.select(F.col(id_column).alias("doc_id"), "text", "source", F.col(row).alias("number"))
+    parts = mixed(light, ["number"])
+    sizes = parts["rows"].select("row", "number", "size")
+    taken = sizes.join(parts["taken"], "row").select(
+        F.col("number").alias(f"{row}_of"), F.round(F.col("taken") / F.col("size")).cast("int").alias(times)
+    )
+    taken = stored(taken.where(F.col(times) > 0), "times")
+    joined = numbered.join(taken, F.col(row) == F.col(f"{row}_of"))
+    again = joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return again.select(docs.columns)

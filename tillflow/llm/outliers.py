@@ -183,6 +183,12 @@ def binned(square: Column) -> Column:
     return F.least(step, F.lit(BINS - 1)).cast("int")
 
 
+def by_bin(rows: DataFrame, *measures: Column) -> DataFrame:
+    """Aggregates of each group and bin, shuffled by both: a large group is spread over its bins."""
+    both = rows.withColumn("both", F.struct("group", "bin")).groupBy("both").agg(*measures)
+    return both.select("both.*", *both.columns[1:])
+
+
 def up_to(bins: DataFrame, share: float) -> DataFrame:
     """The lowest bins of each group that together hold ``share`` of its rows."""
     group = Window.partitionBy("group")
@@ -198,7 +204,8 @@ def concentrated(members: DataFrame, estimate: DataFrame) -> DataFrame:
     """One concentration step: mean and covariance root of the closest rows of each group."""
     pairs = [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
     at = members.join(estimate, "group").withColumn("bin", binned(distance({n: F.col(n) for n in NAMES})))
-    bins = at.groupBy("group", "bin").agg(
+    bins = by_bin(
+        at,
         F.count("*").alias("n"),
         *[F.sum(n).alias(f"s_{i}") for i, n in enumerate(NAMES)],
         *[F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s_{i}{j}") for i, j in pairs],
@@ -243,7 +250,7 @@ def estimates(passed: DataFrame, judges: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         estimate = concentrated(members, estimate)
     at = members.join(estimate, "group").withColumn("bin", binned(distance({n: F.col(n) for n in NAMES})))
-    half = up_to(at.groupBy("group", "bin").agg(F.count("*").alias("n")), 0.5)
+    half = up_to(by_bin(at, F.count("*").alias("n")), 0.5)
     middle = half.groupBy("group").agg(F.pow(F.lit(2.0), (F.max("bin") + 1) / FINE - 16).alias("middle"))
     scale = F.greatest(F.lit(CONSISTENT), F.col("middle") / MEDIAN)
     return stored(estimate.join(middle, "group").withColumn("scale", scale), "estimates")

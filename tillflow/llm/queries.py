@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bitplane, exact, mixing, outliers, packing, warc
+from tillflow.llm import bitplane, exact, jaccard, mixing, outliers, packing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +49,11 @@ def op6_robust_outliers(spark, folder):
     return outliers.rate(table(spark, folder, "documents"))
 
 
+@query
+def op7_jaccard_join(spark, folder):
+    return jaccard.components(table(spark, folder, "documents"))
+
+
 @query
 def op8_golden_ratio_mix(spark, folder):
     return mixing.mix(table(spark, folder, "documents"))

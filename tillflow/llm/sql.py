@@ -22,6 +22,33 @@ SQL: dict[str, str] = {
             CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
         FROM payloads
     """,
+    "op7_jaccard_join": f"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+            END) AS shingle
+            FROM worded
+        ), sizes AS (
+            SELECT doc_id, count(shingle) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+        ), shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_have
+            FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+            GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * both_have >= 75 * (x.n + y.n - both_have)
+        ), reach AS (
+            SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        )
+        SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(min(b), doc_id)) AS component_id
+        FROM sizes LEFT JOIN reach ON a = doc_id GROUP BY doc_id, n
+    """,
     "op10_exact_dedup": f"""
         WITH normal AS (
             SELECT doc_id, translate(coalesce(text, ''),
