@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bitplane, exact, jaccard, mixing, outliers, packing, warc
+from tillflow.llm import bitplane, exact, jaccard, langid, mixing, outliers, packing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,6 +59,11 @@ def op8_golden_ratio_mix(spark, folder):
     return mixing.mix(table(spark, folder, "documents"))
 
 
+@query
+def op9_kneser_ney(spark, folder):
+    return langid.identify(table(spark, folder, "documents"))
+
+
 @query
 def op10_exact_dedup(spark, folder):
     return exact.find_copies(table(spark, folder, "documents"))
