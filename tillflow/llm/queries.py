@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bitplane, exact, jaccard, langid, mixing, outliers, packing, warc
+from tillflow.llm import bitplane, exact, jaccard, langid, mixing, outliers, packing, resampling, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_importance_resampling(spark, folder):
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op2_warc_chunks(spark, folder):
     return warc.round_trip(spark, table(spark, folder, "pages"))
