@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bitplane, exact, jaccard, langid, mixing, outliers, packing, resampling, warc
+from tillflow.llm import bitplane, chunking, exact, jaccard, langid, mixing, outliers, packing, resampling, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,11 @@ def op2_warc_chunks(spark, folder):
     return warc.round_trip(spark, table(spark, folder, "pages"))
 
 
+@query
+def op3_gear_chunks(spark, folder):
+    return chunking.passages(table(spark, folder, "documents"))
+
+
 @query
 def op4_bit_planes(spark, folder):
     docs = table(spark, folder, "documents")
