@@ -152,7 +152,7 @@ def repeated_in_bucket(frame: pd.DataFrame) -> pd.DataFrame:
         twin = same & (found["row"][1:] == found["row"][:-1]) & (found["start"][1:] == found["start"][:-1])
         keep = (np.append(False, same) | np.append(same, False)) & ~np.append(False, twin)
         found = {name: p[keep] for name, p in found.items()}
-    digests = [bytes(x) for x in found.pop("digest").view("V16").ravel()] if len(found["row"]) else []
+    digests = [x.tobytes() for x in found.pop("digest")]
     return pd.DataFrame({"digest": digests, **found})[["digest", "row", "start", "length"]]
 
 

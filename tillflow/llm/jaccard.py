@@ -82,8 +82,12 @@ def bands(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def segments(largest: np.ndarray, wider: int = 1) -> np.ndarray:
-    """Segments of a band: enough non-empty ones for its own sets and those of the next band."""
-    return np.ceil((0.375 * largest + 1.5 * np.sqrt(largest)) * wider).astype(np.int64)
+    """Segments of a band: enough non-empty ones for its own sets and those of the next band.
+
+    The additions make it most unlikely that chance leaves a set, above all a small one, too few.
+    """
+    needed = 0.375 * largest + 1.5 * np.sqrt(largest) + 4096 / np.maximum(largest, 1)
+    return np.ceil(needed * wider).astype(np.int64)
 
 
 # --- segment hashes of a batch ----------------------------------------------------------
