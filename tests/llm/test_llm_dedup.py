@@ -138,7 +138,7 @@ def test_pigeonhole_meets_every_similar_pair():
     rng = np.random.default_rng(5)
     for size in [3, 4, 5, 6, 7, 8, 10, 13, 21, 40, 77, 150, 400, 1000]:
         for _ in range(12):
-            pool = rng.integers(1, 1 << 63, 4 * size, np.uint64)
+            pool = hashing.mix(rng.integers(1, 1 << 63, 4 * size, np.uint64))
             a = pool[:size]
             cut = int(rng.integers(0, size // 7 + 2))
             b = np.concatenate([a[cut:], pool[size : size + int(rng.integers(0, size // 4 + 2))]])
