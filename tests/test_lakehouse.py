@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tillflow import registry
 from tillflow.lakehouse import Lakehouse
 from tillflow.operators.layout import cluster_by, interleave
 from tillflow.plans.layers import VALID_USER
@@ -94,3 +95,34 @@ def test_clustered_write(spark, lake):
     )
     assert stored.count() == 40_000
     assert lake.history("gold.grid").first().rows == 40_000
+
+
+def test_reopened_lake_lists_its_tables(spark, lake):
+    lake.write(spark.range(2), "bronze.a")
+    again = Lakehouse(spark, lake.root, lake.prefix)
+    assert ("bronze", "a") in {(r.layer, r.table) for r in again.tables().collect()}
+    assert Lakehouse(spark).tables().count() == 0
+
+
+def test_files_outlive_the_catalog(spark):
+    lake = Lakehouse(spark)
+    lake.write(spark.range(5), "gold.kept")
+    kept = lake.files("gold.kept")
+    lake.drop()
+    assert kept.count() == 5
+    assert spark.sql(f"SHOW SCHEMAS LIKE '{lake.prefix}*'").count() == 0
+
+
+def test_queries_leave_no_schema_and_see_their_own_folder(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    for name in ("customer", "orders", "lineitem", "events", "nation", "region", "part"):
+        for side, share in (("a", 1.0), ("b", 0.5)):
+            rows = spark.read.parquet(f"{source}/{name}.parquet")
+            rows = rows if name != "part" else rows.where(F.col("p_partkey") <= 200 * share)
+            rows.write.parquet(f"{tmp_path}/{side}/x/{name}.parquet")
+    before = spark.sql("SHOW SCHEMAS").count()
+    counts = [registry.QUERIES["bronze_products"](spark, f"{tmp_path}/{s}/x").count() for s in "ab"]
+    assert counts[0] == 200 and 90 < counts[1] < 110
+    listed = registry.QUERIES["catalog_tables"](spark, f"{tmp_path}/b/x").collect()
+    assert {r.table: r.rows for r in listed}["products"] == counts[1]
+    assert spark.sql("SHOW SCHEMAS").count() == before

@@ -71,15 +71,23 @@ def test_places_are_joined_only_when_read(spark):
 
 
 def test_top_k(spark):
-    assert "TakeOrderedAndProject" in plan(shop.best_customers(retail.purchases(spark, FOLDER)))
+    assert "TakeOrderedAndProject" in plan(shop.best_customers(retail.sales(spark, FOLDER)))
 
 
-def test_purchases_need_no_users(spark):
-    assert "Join" not in plan(registry.QUERIES["nb_purchases_per_user"](spark, FOLDER))
+def test_names_are_joined_after_the_aggregate(spark, no_broadcast):
+    text = plan(registry.QUERIES["nb_purchases_per_user"](spark, FOLDER))
+    assert text.index("Join") < text.index("HashAggregate")
 
 
 def test_newest_date_is_a_subquery(spark):
-    assert "Subquery" in plan(shop.recency(retail.purchases(spark, FOLDER)))
+    assert "Subquery" in plan(shop.recency(retail.purchases(spark, FOLDER), retail.BUYER))
+
+
+def test_one_scan_each(spark):
+    text = plan(registry.QUERIES["nb_product_corr"](spark, FOLDER))
+    assert text.count("lineitem.parquet") == 1
+    text = plan(registry.QUERIES["nb_purchase_frequency"](spark, FOLDER))
+    assert "Expand" not in text
 
 
 def test_no_cross_joins_or_python(spark):

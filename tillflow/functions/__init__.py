@@ -1,6 +1,6 @@
 """Column helpers: exact money, time, nested fields."""
 
-from tillflow.functions.money import exact_sum, mean_of, quotient, ratio, sum_of, total_of
+from tillflow.functions.money import exact_sum, mean_of, off_scale, quotient, ratio, sum_of, total_of
 from tillflow.functions.nested import each_item, item_rows, parse_json
 from tillflow.functions.times import from_micros, in_year, in_years, month_of, seconds_between
 
@@ -13,6 +13,7 @@ __all__ = [
     "item_rows",
     "mean_of",
     "month_of",
+    "off_scale",
     "parse_json",
     "quotient",
     "ratio",

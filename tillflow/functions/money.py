@@ -1,10 +1,11 @@
-"""Sums and rounded results that do not depend on the order of addition.
-
-A distributed sum of doubles changes in its last bits with the partitioning, so
-a total that lies on half a cent may round either way. Amounts are therefore
-added exactly, as two long sums: whole units and millionths. That is as cheap as
-a sum of doubles, stays inside generated code, and leaves room for 10**12 rows;
-decimals appear only after the aggregation.
+"""Sums and rounded results of amounts.
+
+A distributed sum of doubles changes in its last bits with the partitioning, so a total that lies on
+half a cent may round either way. Amounts that are declared to have a fixed number of places (cents,
+or the sixth place for computed ones) are therefore added exactly, as two long sums: whole units and
+the rest in units of the last place. That is as cheap as a sum of doubles and stays inside generated
+code; decimals appear only after the aggregation. ``off_scale`` counts amounts that break the
+declaration. ``total_of`` makes no such assumption: it is the plain sum of the doubles.
 """
 
 from __future__ import annotations
@@ -14,21 +15,35 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MILLION = 1_000_000
+PLACES = 6
 WHOLE = "decimal(20,0)"
 
 
-def exact_sum(amount: Column | str) -> Column:
-    """Sum as a decimal with six places. Amounts beyond a long, or NaN, raise an error."""
-    value = F.col(amount) if isinstance(amount, str) else amount
+def _value(amount: Column | str) -> Column:
+    return F.col(amount) if isinstance(amount, str) else amount
+
+
+def exact_sum(amount: Column | str, places: int = PLACES) -> Column:
+    """Sum, as a decimal, of amounts declared to have at most ``places`` places.
+
+    Amounts beyond a long, or NaN, raise an error.
+    """
+    value = _value(amount)
     units = value.cast("bigint")
-    millionths = F.rint((value - units) * MILLION).cast("bigint")
-    return F.sum(units).cast(WHOLE) + F.sum(millionths).cast(WHOLE) * F.lit(Decimal("0.000001"))
+    rest = F.rint((value - units) * 10**places).cast("bigint")
+    return F.sum(units).cast(WHOLE) + F.sum(rest).cast(WHOLE) * F.lit(Decimal(1).scaleb(-places))
+
+
+def off_scale(amount: Column | str, places: int = PLACES) -> Column:
+    """How many amounts are not a multiple of the last place, beyond the error of a double."""
+    value = _value(amount)
+    scaled = value * 10**places
+    return F.count_if(F.abs(scaled - F.rint(scaled)) > F.greatest(F.lit(1e-9), F.abs(scaled) * 1e-12))
 
 
 def total_of(amount: Column | str) -> Column:
-    """Unrounded sum."""
-    return exact_sum(amount).cast("double")
+    """Unrounded sum of doubles, whatever their scale."""
+    return F.sum(_value(amount).cast("double"))
 
 
 def sum_of(amount: Column | str, digits: int = 2) -> Column:
@@ -42,8 +57,8 @@ def mean_of(amount: Column | str, digits: int = 2) -> Column:
 
 
 def quotient(total: Column, count: Column) -> Column:
-    """Decimal division with twenty places, so that rounding it again is safe."""
-    return F.try_divide(total.cast("decimal(24,6)"), count.cast("decimal(13,0)"))
+    """Decimal division, with more places than are shown, so that rounding it again is safe."""
+    return F.try_divide(total.cast("decimal(30,6)"), count.cast("decimal(14,0)"))
 
 
 def ratio(part: Column, whole: Column, digits: int) -> Column:

@@ -12,8 +12,14 @@ from pyspark.sql import functions as F
 
 
 def from_micros(micros: str) -> Column:
-    """Epoch microseconds (number or text) to a timestamp; unreadable text gives NULL."""
-    return F.timestamp_micros(F.col(micros).try_cast("bigint"))
+    """Epoch microseconds (number or text) to a timestamp; unreadable text gives NULL.
+
+    Text may have a point or an exponent, as in ``1593878946592107.0``; a fraction is cut off.
+    """
+    value = F.col(micros)
+    whole = value.try_cast("decimal(38,6)").try_cast("bigint")
+    scientific = F.when(value.cast("string").rlike("[eE]"), value.try_cast("double").try_cast("bigint"))
+    return F.timestamp_micros(F.coalesce(value.try_cast("bigint"), scientific, whole))
 
 
 def in_years(moment: str, first: int, last: int) -> Column:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.operators.ordered import rank_among, search_steps
+from tillflow.operators.ordered import attach
+from tillflow.session import stored
 
-RANK_BITS = 10
+#: Each column is cut into this many times more ranges than the files alone would need.
+FINER = 4
 
 
 def compact(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -15,47 +19,39 @@ def compact(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.hint("rebalance", *(columns or []))
 
 
+def rank_bits(files: int, columns: int) -> int:
+    """Bits of a column's rank, so that the curve has enough cells for ``files`` slices."""
+    return max(2, math.ceil(math.log2(max(2, FINER * files ** (1 / columns)))))
+
+
+def ranks(df: DataFrame, column: str, bits: int) -> DataFrame:
+    """``column`` and ``_rank``: even ranges of its distinct values, in order; stored."""
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    placed = values.repartitionByRange(1 << bits, column)
+    return stored(placed.withColumn("_rank", F.spark_partition_id()), "ranks")
+
+
 def cluster_by(
     df: DataFrame, columns: list[str], within: list[str] | None = None, files: int | None = None
 ) -> DataFrame:
     """Order rows along a Z-curve over ``columns``, inside each value of ``within``.
 
-    Each column is replaced by its rank among some hundred marks, which are distinct
-    values picked by their hash, hence spread evenly over the distinct values. The rank keeps the order of the column, so the minimum and maximum
-    that files store per column become narrow. The columns themselves end the
-    sort key and, with a hash of the other columns, split a curve cell that holds
-    many rows. ``files`` fixes the number of slices; by default the runtime
-    chooses it by size.
+    Each column is replaced by the rank of its value among even ranges of the distinct values, as
+    many as the number of files needs, by a join whose kind the sizes decide. The rank keeps the
+    order of the column, so the minimum and maximum that files store per column become narrow. The
+    columns themselves end the sort key and, with a hash of the other columns, split a curve cell
+    that holds many rows. ``files`` fixes the number of slices; by default it is that of the shuffle
+    partitions, which the runtime merges by size. ``df`` should be cheap to read several times.
     """
-    distinct = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
-    strides = {
-        c: F.greatest(F.lit(1), F.ceil(distinct.select(c).scalar() / F.lit(1 << (RANK_BITS - 1))))
-        for c in columns
-    }
-    marks = df.agg(
-        *[
-            F.sort_array(F.collect_set(F.when(F.pmod(F.xxhash64(c), strides[c]) == 0, F.col(c)))).alias(c)
-            for c in columns
-        ]
-    )
-    searched = marks.withColumns({f"_steps_{c}": search_steps(F.col(c)) for c in columns})
-    marked = df.withColumns(
-        {
-            name: searched.select(source).scalar()
-            for c in columns
-            for name, source in ((f"_marks_{c}", c), (f"_steps_{c}", f"_steps_{c}"))
-        }
-    )
-    top = (1 << RANK_BITS) - 1
-    ranked = marked.withColumns(
-        {
-            f"_rank_{c}": F.when(F.col(c).isNull(), 0).otherwise(
-                F.least(F.lit(top), rank_among(F.col(f"_marks_{c}"), F.col(f"_steps_{c}"), F.col(c)))
-            )
-            for c in columns
-        }
+    slices = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = rank_bits(slices, len(columns))
+    ranked = df
+    for c in columns:
+        side = ranks(df, c, bits).withColumnRenamed("_rank", f"_rank_{c}")
+        ranked = attach(ranked, side, [c])
+    curve = ranked.withColumn(
+        "_z", interleave([F.coalesce(F.col(f"_rank_{c}"), F.lit(0)) for c in columns], bits)
     )
-    curve = ranked.withColumn("_z", interleave([F.col(f"_rank_{c}") for c in columns]))
     key = [*(within or []), "_z", *columns]
     unhashable = ("map<", "variant")
     others = [c for c, kind in df.dtypes if c not in key and not any(u in kind for u in unhashable)]
@@ -64,7 +60,7 @@ def cluster_by(
     return sliced.sortWithinPartitions(*key).select(*df.columns)
 
 
-def interleave(ranks: list[Column], bits: int = RANK_BITS) -> Column:
+def interleave(ranks: list[Column], bits: int) -> Column:
     """Mix the bits of several ranks into one long: the position on the Z-curve."""
     curve = F.lit(0).cast("bigint")
     for bit in range(bits):

@@ -23,6 +23,20 @@ def mean(x: str, digits: int = 2) -> str:
     return quotient(millionths, f"(count({x}) * 1000000)", digits)
 
 
+def money(x: str) -> str:
+    return f"CAST(CAST(round({x} * 10000) AS BIGINT) AS VARCHAR)"
+
+
+def event_item(number: str, pieces: int) -> str:
+    """The text of one item of an event."""
+    name = f"CAST({number} AS VARCHAR)"
+    coupon = f"CASE WHEN {number} % 4 = 0 THEN 'C' || {name} ELSE '' END"
+    return (
+        f"{coupon} || '|' || {name} || '|item ' || {name} || '|' || {money(f'value * {pieces}')}"
+        f" || '|' || {money('value')} || '|{pieces}'"
+    )
+
+
 def with_views(sql: str) -> str:
     """Prefix the query with the views it names."""
     needed: list[str] = []
@@ -51,10 +65,11 @@ VIEWS = {
         FROM lineitem""",
     "sales": """
         SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id,
-               'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS email,
+               c_name AS email,
                o_orderdate AS transaction_timestamp, l_orderkey, coupon, item_id, item_name,
                item_revenue_in_usd, price_in_usd, quantity
-        FROM orders LEFT JOIN v_lines ON o_orderkey = l_orderkey""",
+        FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+        LEFT JOIN v_lines ON o_orderkey = l_orderkey""",
     "purchases": """
         SELECT o_orderkey AS order_id, c_name AS email, o_orderdate AS transaction_timestamp,
                o_totalprice AS purchase_revenue_in_usd
@@ -62,7 +77,7 @@ VIEWS = {
     "products": """
         SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_name AS name, p_retailprice AS price
         FROM part""",
-    "events": """
+    "events": f"""
         SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS user_id,
                CASE event_type WHEN 'purchase' THEN 'finalize' ELSE event_type END AS event_name,
                CASE WHEN k < 95 THEN 'src_' || CAST(k AS VARCHAR) END AS traffic_source,
@@ -74,8 +89,8 @@ VIEWS = {
                CASE WHEN event_type = 'purchase' THEN CAST(3 AS BIGINT) END AS total_item_quantity,
                CASE WHEN event_type = 'purchase' THEN CAST(2 AS BIGINT) END AS unique_items,
                CASE event_type
-                    WHEN 'purchase' THEN CAST(k AS VARCHAR) || 'x1,' || CAST((k + 37) % 100 AS VARCHAR) || 'x2'
-                    WHEN 'click' THEN CAST(k AS VARCHAR) || 'x1'
+                    WHEN 'purchase' THEN {event_item("k", 1)} || ',' || {event_item("((k + 37) % 100)", 2)}
+                    WHEN 'click' THEN {event_item("k", 1)}
                     WHEN 'signup' THEN '' END AS basket,
                CASE event_type WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 WHEN 'signup' THEN 0 END
                     AS basket_size,
@@ -83,6 +98,7 @@ VIEWS = {
         FROM (SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events) e
         LEFT JOIN nation ON n_nationkey = e.user_id % 28
         LEFT JOIN region ON r_regionkey = n_regionkey""",
+    "delivered": "SELECT * FROM v_events UNION ALL SELECT * FROM v_events",
     "eventitems": """
         SELECT *, CASE WHEN num % 4 = 0 THEN 'C' || CAST(num AS VARCHAR) END AS coupon,
                CAST(num AS VARCHAR) AS item_id, 'item ' || CAST(num AS VARCHAR) AS item_name,
@@ -169,13 +185,13 @@ _ITEMS = (
 
 _QUERIES = {
     "sql01_customer_revenue": f"""
-        SELECT c_name AS customer_name, {total("o_totalprice", 6)} AS total_order_amount
+        SELECT c_name AS customer_name, round(sum(o_totalprice), 2) AS total_order_amount
         FROM customer JOIN orders ON c_custkey = o_custkey
         WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1998-01-01'
-        GROUP BY c_custkey, c_name HAVING sum(CAST(o_totalprice AS DECIMAL(20,6))) > 1000000""",
+        GROUP BY c_custkey, c_name HAVING sum(o_totalprice) > 1000000""",
     "sql02_avg_salary_by_dept": f"""
         SELECT n_name AS department_name,
-               round({total("s_acctbal", 6)} / nullif(count(s_acctbal), 0), 4) AS avg_salary
+               round(avg(s_acctbal), 4) AS avg_salary
         FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey GROUP BY n_nationkey, n_name""",
     "sql03_recent_orders": """
         SELECT o_custkey AS customer_id, o_orderkey AS order_id, o_orderdate AS order_date,
@@ -220,6 +236,9 @@ _QUERIES = {
                round(quantile_cont(s_acctbal, 0.9) OVER (PARTITION BY s_nationkey), 4) AS percentile_salary
         FROM supplier""",
     "sql11_products_never_sold": """
+        SELECT p_partkey AS product_id, p_name AS name FROM part
+        WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_partkey IS NOT NULL)""",
+    "sql11_products_not_returned_1997": """
         SELECT p_partkey AS product_id, p_name AS name
         FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R'
              AND l_shipdate >= DATE '1997-01-01' AND l_shipdate < DATE '1998-01-01') s
@@ -228,9 +247,8 @@ _QUERIES = {
     "sql12_running_total": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_date,
                o_totalprice AS amount,
-               CAST(sum(CAST(o_totalprice AS DECIMAL(20,6))) OVER (PARTITION BY o_custkey
-                    ORDER BY o_orderdate, o_orderkey
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total
+               round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_total
         FROM orders""",
     "nb_table_counts": """
         SELECT 'users' AS "table", count(*) AS count FROM customer
@@ -246,12 +264,14 @@ _QUERIES = {
             ),
             _filled(
                 "sales",
-                "v_purchases",
+                "v_sales",
                 [
-                    ("order_id", "bigint", "order_id"),
+                    ("order_id", "string", "order_id"),
                     ("email", "string", "email"),
                     ("transaction_timestamp", "timestamp_ntz", "transaction_timestamp"),
-                    ("purchase_revenue_in_usd", "double", "purchase_revenue_in_usd"),
+                    ("purchase_revenue_in_usd", "double", "*"),
+                    ("total_item_quantity", "bigint", "quantity"),
+                    ("items", _ITEMS, "item_id"),
                 ],
             ),
             _filled(
@@ -377,13 +397,16 @@ _QUERIES = {
                CAST(3 * count(*) FILTER (WHERE l_orderkey IS NULL) AS BIGINT) FROM v_sales
         UNION ALL SELECT 'events', count(*),
                count(*) FILTER (WHERE user_id IS NULL) + count(*) FILTER (WHERE traffic_source IS NULL)
-               + count(*) FILTER (WHERE basket IS NULL) FROM v_events""",
+               + count(*) FILTER (WHERE basket IS NULL) FROM v_delivered""",
     "bronze_events": f"""
         SELECT {_EVENT}, {_TIMES}, city, state, {_FIGURES}, basket, CAST(basket_size AS INTEGER) AS basket_size
-        FROM v_events""",
-    "bronze_sales": """
+        FROM v_delivered""",
+    "bronze_sales": f"""
         SELECT order_id, email, transaction_timestamp, coalesce(price_in_usd, 0) AS purchase_revenue_in_usd,
-               quantity AS total_item_quantity, item_id || 'x' || CAST(quantity AS VARCHAR) AS basket,
+               quantity AS total_item_quantity,
+               coalesce(coupon, '') || '|' || item_id || '|' || item_name || '|'
+                   || {money("item_revenue_in_usd")} || '|' || {money("price_in_usd")} || '|'
+                   || CAST(quantity AS VARCHAR) AS basket,
                CASE WHEN l_orderkey IS NOT NULL THEN 1 END AS basket_size
         FROM v_sales""",
     "bronze_users": """
@@ -401,12 +424,12 @@ _QUERIES = {
         SELECT {_EVENT}, city, {_ITEM} FROM v_eventitems WHERE user_id IS NOT NULL""",
     "gold_monthly_revenue_by_product_city": "SELECT * FROM v_monthly",
     "gold_top10_customers_by_ltv": f"""
-        SELECT email, {total("purchase_revenue_in_usd")} AS clv, count(DISTINCT order_id) AS orders
-        FROM v_purchases GROUP BY email ORDER BY clv DESC, email LIMIT 10""",
+        SELECT email, {total("coalesce(price_in_usd, 0)")} AS clv, count(DISTINCT order_id) AS orders
+        FROM v_sales GROUP BY email ORDER BY clv DESC, email LIMIT 10""",
     "gold_conversion_by_traffic_source": "SELECT * FROM v_cleanconversion",
-    "gold_customer_ltv": f"""
-        SELECT email, {total("purchase_revenue_in_usd", 6)} AS clv, count(DISTINCT order_id) AS orders
-        FROM v_purchases GROUP BY email""",
+    "gold_customer_ltv": """
+        SELECT email, round(sum(coalesce(price_in_usd, 0)), 2) AS clv, count(DISTINCT order_id) AS orders
+        FROM v_sales GROUP BY email""",
     "dq_report": """
         SELECT 'bronze_sales' AS dataset, 'has_items' AS expectation, 'keep' AS action, count(*) AS rows,
                count(*) FILTER (WHERE l_orderkey IS NULL) AS violations FROM v_sales
@@ -421,13 +444,13 @@ _QUERIES = {
                count(*) FILTER (WHERE order_id IS NULL) FROM v_enriched
         UNION ALL
         SELECT 'gold_customer_ltv', 'positive_clv', 'fail', count(*), count(*) FILTER (WHERE NOT clv >= 0)
-        FROM (SELECT sum(purchase_revenue_in_usd) AS clv FROM v_purchases GROUP BY email)""",
+        FROM (SELECT sum(coalesce(price_in_usd, 0)) AS clv FROM v_sales GROUP BY email)""",
     "audit_table_history": _counted(
         [
             ("bronze.users", "customer"),
             ("bronze.products", "part"),
             ("bronze.sales", "v_sales"),
-            ("bronze.events", "events"),
+            ("bronze.events", "v_delivered"),
             ("silver.events", "(SELECT * FROM v_events WHERE user_id IS NOT NULL)"),
             ("silver.sales_enriched", "v_enriched"),
             ("silver.event_items", "(SELECT * FROM v_eventitems WHERE user_id IS NOT NULL)"),
@@ -444,7 +467,10 @@ _QUERIES = {
         mode="'overwrite'",
     ),
     "catalog_tables": """
-        SELECT 'raw' AS layer, unnest(['users', 'products', 'sales', 'events']) AS "table\"""",
+        SELECT 'raw' AS layer, 'users' AS "table", count(*) AS rows FROM customer
+        UNION ALL SELECT 'raw', 'products', count(*) FROM part
+        UNION ALL SELECT 'raw', 'sales', count(*) FROM v_sales
+        UNION ALL SELECT 'raw', 'events', count(*) FROM v_delivered""",
 }
 
 SQL = {name: with_views(sql) for name, sql in _QUERIES.items()}

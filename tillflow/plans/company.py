@@ -131,10 +131,7 @@ def products_never_sold(products: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def running_total(orders: DataFrame, amount: str = "amount") -> DataFrame:
-    """Spend of the customer up to and including each order."""
-    priced = orders.withColumn("_paid", F.col(amount).cast("decimal(20,6)"))
+    """Spend of the customer up to and including each order: the plain sum, of any scale."""
     return running_sum(
-        priced, ["customer_id"], ["order_date", "order_id"], "_paid", into="_total"
-    ).select(
-        "order_id", "customer_id", "order_date", amount, F.col("_total").cast("double").alias("running_total")
-    )
+        orders, ["customer_id"], ["order_date", "order_id"], amount, into="running_total"
+    ).select("order_id", "customer_id", "order_date", amount, "running_total")

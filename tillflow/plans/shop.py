@@ -46,20 +46,20 @@ def sales_priced(sales: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def purchases_per_user(sales: DataFrame) -> DataFrame:
+def purchases_per_user(sales: DataFrame, buyer: str = "email") -> DataFrame:
     """Distinct orders per buyer. Joining the users would add neither columns nor rows."""
     return (
-        sales.groupBy("email")
+        sales.groupBy(buyer)
         .agg(F.count_distinct("order_id").alias("num_purchases"))
-        .orderBy(F.desc("num_purchases"), "email")
+        .orderBy(F.desc("num_purchases"), buyer)
     )
 
 
-def revenue_per_user(sales: DataFrame) -> DataFrame:
+def revenue_per_user(sales: DataFrame, buyer: str = "email") -> DataFrame:
     return (
-        sales.groupBy("email")
+        sales.groupBy(buyer)
         .agg(sum_of("purchase_revenue_in_usd").alias("total_revenue"))
-        .orderBy(F.desc_nulls_last("total_revenue"), "email")
+        .orderBy(F.desc_nulls_last("total_revenue"), buyer)
     )
 
 
@@ -146,26 +146,50 @@ def top_products_detail(sales: DataFrame, products: DataFrame, count: int = 5) -
     )
 
 
-def purchase_frequency(sales: DataFrame) -> DataFrame:
-    """Distinct orders per day with an order, and the span from first to last."""
-    start, end = F.min("transaction_timestamp"), F.max("transaction_timestamp")
-    return (
-        sales.groupBy("email")
+def purchase_frequency(sales: DataFrame, buyer: str = "email") -> DataFrame:
+    """Distinct orders per day with an order, and the span from first to last.
+
+    Rows are first grouped by buyer, order and day, which spreads a frequent buyer; the two distinct
+    counts then see one row per order and day.
+    """
+    moment = F.col("transaction_timestamp")
+    daily = sales.groupBy(buyer, "order_id", F.to_date(moment).alias("_day")).agg(
+        F.min(moment).alias("_first"), F.max(moment).alias("_last")
+    )
+    by_order = daily.groupBy(buyer, "order_id").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last")
+    )
+    days = daily.where("_day IS NOT NULL").groupBy(buyer, "_day").agg(F.lit(1).alias("_one"))
+    counted = (
+        by_order.groupBy(buyer)
         .agg(
-            F.count_distinct("order_id").alias("purchases"),
-            F.count_distinct(F.to_date("transaction_timestamp")).alias("active_days"),
-            start.alias("first_purchase"),
-            end.alias("last_purchase"),
+            F.count("order_id").alias("purchases"),
+            F.min("_first").alias("first_purchase"),
+            F.max("_last").alias("last_purchase"),
         )
+    )
+    active = days.groupBy(F.col(buyer).alias("_who")).agg(F.count("*").alias("active_days"))
+    return (
+        counted.join(active, F.col(buyer).eqNullSafe(F.col("_who")), "left")
         .withColumns(
             {
+                "active_days": F.coalesce("active_days", F.lit(0).cast("bigint")),
                 "tenure_days": F.datediff("last_purchase", "first_purchase"),
-                "purchase_frequency": ratio(
-                    F.col("purchases"), F.greatest("active_days", F.lit(1)), 4
-                ),
             }
         )
-        .orderBy(F.desc("purchases"), F.desc("purchase_frequency"), "email")
+        .withColumn(
+            "purchase_frequency", ratio(F.col("purchases"), F.greatest("active_days", F.lit(1)), 4)
+        )
+        .select(
+            buyer,
+            "purchases",
+            "active_days",
+            "first_purchase",
+            "last_purchase",
+            "tenure_days",
+            "purchase_frequency",
+        )
+        .orderBy(F.desc("purchases"), F.desc("purchase_frequency"), buyer)
     )
 
 
@@ -227,41 +251,58 @@ def product_stats(sales: DataFrame) -> DataFrame:
 def product_correlation(sales: DataFrame) -> DataFrame:
     """Correlation of quantity and revenue over products and over single lines.
 
-    A pair with a NULL is left out.
+    A pair with a NULL is left out. The sums for single lines are carried through the aggregate by
+    product, so the lines are read once.
     """
-
-    def line(df: DataFrame, grain: str, x: str, y: str) -> DataFrame:
-        return df.agg(F.count("*").alias("n"), F.corr(x, y).alias("corr")).select(
-            F.lit(grain).alias("grain"), "n", "corr"
-        )
-
-    lines = each_item(sales, ["quantity", "item_revenue_in_usd"])
-    return line(_per_product(sales), "product", "qty", "rev").unionAll(
-        line(lines, "line", "quantity", "item_revenue_in_usd")
+    x, y = F.col("quantity").cast("double"), F.col("item_revenue_in_usd")
+    both = x.isNotNull() & y.isNotNull()
+    sums = {"_n": F.count_if(both)} | {
+        name: F.sum(F.when(both, value))
+        for name, value in {"_x": x, "_y": y, "_xx": x * x, "_yy": y * y, "_xy": x * y}.items()
+    }
+    per_item = each_item(sales, ["item_id", "quantity", "item_revenue_in_usd"]).groupBy("item_id").agg(
+        F.sum("quantity").alias("qty"),
+        sum_of("item_revenue_in_usd").alias("rev"),
+        F.count("*").alias("_lines"),
+        *[value.alias(name) for name, value in sums.items()],
+    )
+    n, sx, sy, sxx, syy, sxy = [F.sum(c) for c in ("_n", "_x", "_y", "_xx", "_yy", "_xy")]
+    spread = F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))
+    line_corr = F.try_divide(n * sxy - sx * sy, spread)
+    both_grains = per_item.agg(
+        F.count("*").alias("products"),
+        F.corr("qty", "rev").alias("product_corr"),
+        F.coalesce(F.sum("_lines"), F.lit(0)).alias("lines"),
+        line_corr.alias("line_corr"),
     )
+    lines = [
+        F.struct(F.lit(g).alias("grain"), F.col(c).cast("bigint").alias("n"), F.col(r).alias("corr"))
+        for g, c, r in (("product", "products", "product_corr"), ("line", "lines", "line_corr"))
+    ]
+    return both_grains.select(F.inline(F.array(*lines)))
 
 
-def lifetime_value(sales: DataFrame) -> DataFrame:
+def lifetime_value(sales: DataFrame, buyer: str = "email") -> DataFrame:
     """Revenue, orders, average order and active span per buyer."""
     moment = "transaction_timestamp"
     return (
-        sales.groupBy("email")
+        sales.groupBy(buyer)
         .agg(
             sum_of("purchase_revenue_in_usd").alias("clv"),
             F.count_distinct("order_id").alias("orders"),
             mean_of("purchase_revenue_in_usd").alias("avg_order_value"),
             F.datediff(F.max(moment), F.min(moment)).alias("active_days"),
         )
-        .orderBy(F.desc_nulls_last("clv"), "email")
+        .orderBy(F.desc_nulls_last("clv"), buyer)
     )
 
 
-def recency(sales: DataFrame) -> DataFrame:
+def recency(sales: DataFrame, buyer: str = "email") -> DataFrame:
     """Days between a buyer's last purchase and the newest one of all."""
     moment = "transaction_timestamp"
     newest = sales.agg(F.max(moment)).scalar()
     return (
-        sales.groupBy("email")
+        sales.groupBy(buyer)
         .agg(
             F.max(moment).alias("last_purchase"),
             sum_of("purchase_revenue_in_usd").alias("revenue"),
@@ -270,11 +311,15 @@ def recency(sales: DataFrame) -> DataFrame:
     )
 
 
-def churned(sales: DataFrame, idle_days: int = HALF_YEAR_DAYS) -> DataFrame:
-    return recency(sales).where(F.col("days_since_last") >= idle_days)
+def churned(
+    sales: DataFrame, idle_days: int = HALF_YEAR_DAYS, buyer: str = "email"
+) -> DataFrame:
+    return recency(sales, buyer).where(F.col("days_since_last") >= idle_days)
 
 
-def recency_buckets(sales: DataFrame, limits: tuple[int, int] = RECENCY_DAYS) -> DataFrame:
+def recency_buckets(
+    sales: DataFrame, limits: tuple[int, int] = RECENCY_DAYS, buyer: str = "email"
+) -> DataFrame:
     """Buyers and average revenue by idle days."""
     short, middle = limits
     idle = F.col("days_since_last")
@@ -284,7 +329,7 @@ def recency_buckets(sales: DataFrame, limits: tuple[int, int] = RECENCY_DAYS) ->
         .otherwise(f"{middle + 1}d+")
     )
     return (
-        recency(sales)
+        recency(sales, buyer)
         .groupBy(bucket.alias("recency_bucket"))
         .agg(F.count("*").alias("users"), mean_of("revenue").alias("avg_revenue"))
         .orderBy("recency_bucket")

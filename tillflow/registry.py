@@ -6,20 +6,20 @@ Results hold plain columns only: exact decimals become doubles and times become
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import reduce, wraps
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.functions import in_year
-from tillflow.lakehouse import Lakehouse
-from tillflow.operators import quality
+from tillflow.lakehouse import AUDIT, Lakehouse
+from tillflow.lakehouse import HISTORY as TABLE_HISTORY
 from tillflow.plans import build, company, layers, overview, shop, traffic
 from tillflow.schemas import FEEDS
-from tillflow.session import shared_dir
+from tillflow.session import shared_dir, stored
 from tillflow.sources import feeds, retail
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,9 +46,10 @@ def query(function: Query) -> Query:
 
 @query
 def sql01_customer_revenue(spark, folder):
-    return company.customer_revenue(
+    spent = company.customer_revenue(
         retail.customers(spark, folder), retail.orders(spark, folder), 1997, 1_000_000
     )
+    return spent.withColumn("total_order_amount", F.round("total_order_amount", 2))
 
 
 @query
@@ -107,7 +108,15 @@ def sql10_salary_p90(spark, folder):
 
 @query
 def sql11_products_never_sold(spark, folder):
-    """Parts without a returned sale in 1997 (every part has some sale)."""
+    """Parts without any sale; in the supplied tables every part has one."""
+    return company.products_never_sold(
+        retail.catalog(spark, folder), retail.line_sales(spark, folder)
+    )
+
+
+@query
+def sql11_products_not_returned_1997(spark, folder):
+    """Parts without a returned sale in 1997."""
     returned = retail.line_sales(spark, folder).where(
         (F.col("return_flag") == "R") & in_year("sale_date", 1997)
     )
@@ -116,9 +125,10 @@ def sql11_products_never_sold(spark, folder):
 
 @query
 def sql12_running_total(spark, folder):
-    return company.running_total(
+    totals = company.running_total(
         retail.orders(spark, folder).withColumnRenamed("order_amount", "amount")
     )
+    return totals.withColumn("running_total", F.round("running_total", 2))
 
 
 # --- notebook set ------------------------------------------------------------------
@@ -127,7 +137,7 @@ def sql12_running_total(spark, folder):
 def _shop_tables(spark, folder):
     return {
         "users": retail.users(spark, folder),
-        "sales": retail.purchases(spark, folder),
+        "sales": retail.sales(spark, folder),
         "products": retail.products(spark, folder),
         "events": retail.events(spark, folder),
     }
@@ -168,12 +178,14 @@ def nb_sales_priced(spark, folder):
 
 @query
 def nb_purchases_per_user(spark, folder):
-    return shop.purchases_per_user(retail.purchases(spark, folder))
+    report = shop.purchases_per_user(retail.purchases(spark, folder), buyer=retail.BUYER)
+    return retail.named(spark, folder, report)
 
 
 @query
 def nb_revenue_per_user(spark, folder):
-    return shop.revenue_per_user(retail.purchases(spark, folder))
+    report = shop.revenue_per_user(retail.purchases(spark, folder), buyer=retail.BUYER)
+    return retail.named(spark, folder, report)
 
 
 @query
@@ -244,7 +256,8 @@ def nb_event_impact(spark, folder):
 
 @query
 def nb_purchase_frequency(spark, folder):
-    return shop.purchase_frequency(retail.purchases(spark, folder))
+    report = shop.purchase_frequency(retail.purchases(spark, folder), buyer=retail.BUYER)
+    return retail.named(spark, folder, report)
 
 
 @query
@@ -265,7 +278,8 @@ def nb_product_corr(spark, folder):
 
 @query
 def nb_clv(spark, folder):
-    return shop.lifetime_value(retail.purchases(spark, folder))
+    report = shop.lifetime_value(retail.purchases(spark, folder), buyer=retail.BUYER)
+    return retail.named(spark, folder, report)
 
 
 @query
@@ -275,26 +289,47 @@ def nb_conversion_by_source(spark, folder):
 
 @query
 def nb_recency(spark, folder):
-    return shop.recency(retail.purchases(spark, folder))
+    report = shop.recency(retail.purchases(spark, folder), buyer=retail.BUYER)
+    return retail.named(spark, folder, report)
 
 
 @query
 def nb_churned(spark, folder):
-    return shop.churned(retail.purchases(spark, folder))
+    report = shop.churned(retail.purchases(spark, folder), buyer=retail.BUYER)
+    return retail.named(spark, folder, report)
 
 
 @query
 def nb_recency_buckets(spark, folder):
-    return shop.recency_buckets(retail.purchases(spark, folder))
+    return shop.recency_buckets(retail.purchases(spark, folder), buyer=retail.BUYER)
 
 
 # --- layered tables ------------------------------------------------------------------
 
 
+def contents(spark: SparkSession, folder: str, *tables: str) -> str:
+    """A text that changes with the folder, or with any file of the supplied tables."""
+    found = []
+    for name in tables:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        listed = files.load(f"{folder}/{name}.parquet").select("path", "modificationTime", "length")
+        found += sorted(str(tuple(r)) for r in listed.collect())
+    return hashlib.sha1("\n".join([folder, *found]).encode()).hexdigest()[:16]
+
+
+SUPPLIED = {
+    "users": ["customer"],
+    "products": ["part"],
+    "sales": ["customer", "lineitem", "orders"],
+    "events": ["events", "nation", "region"],
+}
+
+
 def delivered(spark: SparkSession, folder: str, *names: str) -> str:
-    """A folder of CSV feeds made from the supplied tables, written once per session."""
+    """A folder of CSV feeds made from the supplied tables, written once per session and content."""
     session = spark.sparkContext.applicationId
-    target = f"{shared_dir(spark)}/feeds-{session}/{Path(folder).name}"
+    key = contents(spark, folder, *sorted({t for tables in SUPPLIED.values() for t in tables}))
+    target = f"{shared_dir(spark)}/tillflow-{session}/feeds-{key}"
     done = _delivered.setdefault(target, set())
     for name in names:
         if name not in done:
@@ -304,13 +339,47 @@ def delivered(spark: SparkSession, folder: str, *names: str) -> str:
 
 
 _delivered: dict[str, set[str]] = {}
+_built: dict[str, dict[str, DataFrame]] = {}
+HISTORY = f"{AUDIT}.{TABLE_HISTORY}"
+
+
+def layered(spark: SparkSession, folder: str, raw: bool = False) -> dict[str, DataFrame]:
+    """All layers built from the CSV feeds, once per session and content: table name -> rows.
+
+    The tables are read from their files, so that the schemas can be dropped again: nothing of the
+    build stays in the catalog.
+    """
+    source = delivered(spark, folder, *FEEDS)
+    key = f"{source}#{raw}"
+    if key not in _built:
+        lake = Lakehouse(spark)
+        try:
+            if raw:
+                build.store_raw(spark, lake, source)
+            else:
+                build.build(spark, source, lake)
+            listed = lake.tables().collect()
+            found = {f"{r.layer}.{r.table}": lake.files(f"{r.layer}.{r.table}") for r in listed}
+            found[HISTORY] = stored(lake.history(), "history")
+            _built[key] = found
+        finally:
+            lake.drop()
+    return _built[key]
 
 
 def flat(df: DataFrame) -> DataFrame:
-    """Nested columns as plain ones; a basket reads ``item x quantity`` per element."""
-    content = F.array_join(
-        F.transform("items", lambda i: F.concat(i.item_id, F.lit("x"), i.quantity)), ","
-    )
+    """Nested columns as plain ones; items read ``coupon|id|name|revenue|price|quantity`` each, with
+    money in units of 1/10,000."""
+
+    def money(amount):
+        return F.round(amount * 10_000).cast("bigint").cast("string")
+
+    def line(i):
+        fields = [i.coupon, i.item_id, i.item_name, money(i.item_revenue_in_usd), money(i.price_in_usd)]
+        fields.append(i.quantity.cast("string"))
+        return F.concat_ws("|", *[F.coalesce(f, F.lit("")) for f in fields])
+
+    content = F.array_join(F.transform("items", line), ",")
     df = df.withColumns({"basket": content, "basket_size": F.size("items")}).drop("items")
     return df.select(*[f"{c}.*" if c in ("geo", "ecommerce") else c for c in df.columns])
 
@@ -318,10 +387,10 @@ def flat(df: DataFrame) -> DataFrame:
 @query
 def raw_tables(spark, folder):
     """The stored raw tables: rows, and cells that hold the text ``null``."""
-    lake = build.store_raw(spark, Lakehouse(spark), delivered(spark, folder, *FEEDS))
+    tables = layered(spark, folder, raw=True)
 
     def line(name):
-        df = lake.read(f"raw.{name}")
+        df = tables[f"raw.{name}"]
         cells = reduce(lambda a, b: a + b, [F.count_if(F.col(c) == "null") for c in df.columns])
         return df.agg(F.lit(name).alias("table"), F.count("*").alias("rows"), cells.alias("null_texts"))
 
@@ -348,71 +417,76 @@ def bronze_products(spark, folder):
     return feeds.bronze(spark, delivered(spark, folder, "products"), "products")
 
 
-def _clean_events(spark, folder):
-    return layers.silver_events(retail.replayed_events(spark, folder))
-
-
 @query
 def silver_events(spark, folder):
-    return flat(_clean_events(spark, folder))
+    return flat(layered(spark, folder)["silver.events"])
 
 
 @query
 def silver_sales_enriched(spark, folder):
-    return layers.silver_sales_enriched(
-        retail.sales(spark, folder), retail.products(spark, folder)
-    )
+    return layered(spark, folder)["silver.sales_enriched"]
 
 
 @query
 def silver_event_items(spark, folder):
-    return layers.silver_event_items(_clean_events(spark, folder))
+    return layered(spark, folder)["silver.event_items"]
 
 
 @query
 def gold_monthly_revenue_by_product_city(spark, folder):
-    """Stored by month and clustered by item and city, then read back."""
-    lake = Lakehouse(spark)
-    lake.write(layers.silver_event_items(_clean_events(spark, folder)), "silver.event_items")
-    return build.store_monthly_revenue(lake).read("gold.monthly_revenue_by_product_city")
+    """Stored by month and clustered by item and city."""
+    return layered(spark, folder)["gold.monthly_revenue_by_product_city"]
 
 
 @query
 def gold_top10_customers_by_ltv(spark, folder):
-    return layers.gold_best_customers(retail.purchases(spark, folder))
+    return layered(spark, folder)["gold.top10_customers_by_ltv"]
 
 
 @query
 def gold_conversion_by_traffic_source(spark, folder):
-    return layers.gold_conversion(_clean_events(spark, folder))
+    return layered(spark, folder)["gold.conversion_by_traffic_source"]
 
 
 @query
 def gold_customer_ltv(spark, folder):
-    return layers.gold_customer_ltv(retail.purchases(spark, folder))
+    return layered(spark, folder)["gold.customer_ltv"].withColumn("clv", F.round("clv", 2))
 
 
 @query
 def dq_report(spark, folder):
-    events, sales = retail.replayed_events(spark, folder), retail.sales(spark, folder)
-    checked = {
-        "bronze_sales": sales,
-        "silver_events": layers.silver_events_checked(events),
-        "silver_sales_enriched": layers.silver_sales_checked(sales, retail.products(spark, folder)),
-        "gold_customer_ltv": shop.customer_value(retail.purchases(spark, folder)),
-    }
-    reports = [quality.report(df, name, layers.RULES[name]) for name, df in checked.items()]
-    return reduce(DataFrame.unionAll, reports)
+    """What the writes of the build counted: rows checked and violations per expectation."""
+    log = layered(spark, folder)[HISTORY].select(
+        F.translate("table", ".", "_").alias("dataset"), "rows_checked", F.explode("violations")
+    )
+    actions = [
+        F.struct(F.lit(d).alias("of"), F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"))
+        for d, rules in layers.RULES.items()
+        for r in rules
+    ]
+    known = spark.range(1).select(F.inline(F.array(*actions)))
+    same = (F.col("dataset") == F.col("of")) & (F.col("key") == F.col("rule"))
+    return log.join(known, same).select(
+        "dataset",
+        F.col("key").alias("expectation"),
+        "action",
+        F.col("rows_checked").alias("rows"),
+        F.col("value").alias("violations"),
+    )
 
 
 @query
 def audit_table_history(spark, folder):
     """All layers built from CSV; one line per write."""
-    lake = build.build(spark, delivered(spark, folder, *FEEDS))
-    return lake.history().select("table", "version", "operation", "mode", "rows")
+    return layered(spark, folder)[HISTORY].select("table", "version", "operation", "mode", "rows")
 
 
 @query
 def catalog_tables(spark, folder):
-    lake = build.store_raw(spark, Lakehouse(spark), delivered(spark, folder, *FEEDS))
-    return lake.tables().where("layer = 'raw'")
+    """The stored raw tables and how many rows each holds."""
+    tables = {name: df for name, df in layered(spark, folder, raw=True).items() if name.startswith("raw.")}
+    lines = [
+        df.agg(F.lit("raw").alias("layer"), F.lit(name[4:]).alias("table"), F.count("*").alias("rows"))
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionAll, lines)

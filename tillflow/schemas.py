@@ -7,11 +7,11 @@ ITEMS = (
 GEO = "struct<city:string,state:string>"
 ECOMMERCE = "struct<purchase_revenue_in_usd:double,total_item_quantity:bigint,unique_items:bigint>"
 
-# CSV columns as they arrive. JSON and the epoch columns of events are text.
-USERS_CSV = "email string, user_first_touch_timestamp bigint"
+# CSV columns as they arrive. JSON and the epoch columns are text.
+USERS_CSV = "email string, user_first_touch_timestamp string"
 PRODUCTS_CSV = "item_id string, name string, price double"
 SALES_CSV = (
-    "order_id string, email string, transaction_timestamp bigint, "
+    "order_id string, email string, transaction_timestamp string, "
     "purchase_revenue_in_usd double, total_item_quantity bigint, items string"
 )
 EVENTS_CSV = (

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.ui.enabled": "false",
@@ -30,16 +32,35 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster
-    such a folder would exist on one machine and be lost with it.
+    Only a ``local`` or ``local[...]`` session may fall back to a temporary folder: elsewhere,
+    ``local-cluster`` included, such a folder would exist on one machine and be lost with it.
+    A path without a scheme is refused there too, since it need not be the same for all; a
+    ``file:`` path is taken as named, for a mount that all machines share.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    alone = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
     if folder:
+        if not alone and ":" not in folder:
+            raise RuntimeError("spark.checkpoint.dir needs a scheme, such as hdfs: or s3a:")
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(folder)
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not alone:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="tillflow-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, below one folder per application."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/tillflow-{app}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: short lineage, known size."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,13 +1,14 @@
 """CSV feeds with embedded JSON, and their typed (bronze) form.
 
 A quoted field may span lines, so a file cannot be split: deliver feeds as many
-files of moderate size, and read them once into bronze tables. Schemas are given,
+files of moderate size, and read them once into bronze tables. Schemas are given by name,
 which saves the extra pass of type inference.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillflow import schemas
 from tillflow.functions import from_micros, parse_json
@@ -16,6 +17,24 @@ NULL_TEXT = "null"
 ROWS_PER_FILE = 200_000
 
 
+def _fields(schema: str) -> dict[str, str]:
+    """Names and types of a schema whose types hold no commas."""
+    return {name.strip("`"): kind for name, kind in (f.split(None, 1) for f in schema.split(", "))}
+
+
+def _header(spark: SparkSession, path: str, schema: str, **options) -> dict[str, str]:
+    """The header's names in their order, each with its declared type, or text if it has none.
+
+    A declared column that the header lacks is an error.
+    """
+    wanted = {name.lower(): kind for name, kind in _fields(schema).items()}
+    names = spark.read.options(header=True, **options).csv(path).columns
+    missing = [name for name in _fields(schema) if name.lower() not in {n.lower() for n in names}]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(names)}")
+    return {name: wanted.get(name.lower(), "string") for name in names}
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -25,14 +44,20 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header, ``""`` for a quote inside quotes, and a text that means NULL.
 
+    Columns are found by their name in the header, in any order and beside others, which are left
+    out; all files of a path must have the same header. Text that does not fit its type is NULL.
     Without ``schema`` the types are inferred; ``null_text=None`` keeps such text.
     """
-    options = {"header": True, "multiLine": multi_line, "escape": '"'}
-    if null_text is not None:
-        options["nullValue"] = null_text
-    reader = spark.read.options(**options)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.csv(path)
+    options = {"multiLine": multi_line, "escape": '"'}
+    nulls = {} if null_text is None else {"nullValue": null_text}
+    if not schema:
+        return spark.read.options(header=True, inferSchema=True, **options, **nulls).csv(path)
+    names = _header(spark, path, schema, **options)
+    text = ", ".join(f"`{name}` string" for name in names)
+    # Not enforced: the header of every file is compared with these names.
+    reader = spark.read.options(header=True, enforceSchema=False, **options, **nulls).schema(text)
+    columns = [F.col(f"`{name}`").try_cast(kind).alias(name) for name, kind in _fields(schema).items()]
+    return reader.csv(path).select(*columns)
 
 
 def read_feed(spark: SparkSession, folder: str, feed: str, multi_line: bool = True) -> DataFrame:
@@ -40,18 +65,29 @@ def read_feed(spark: SparkSession, folder: str, feed: str, multi_line: bool = Tr
     return read_csv(spark, f"{folder}/{feed}.csv", schemas.FEEDS[feed], multi_line=multi_line)
 
 
-def read_raw(spark: SparkSession, folder: str, feed: str) -> DataFrame:
-    """A feed as delivered: every column as text, and the text ``null`` kept."""
-    names = [field.split()[0] for field in schemas.FEEDS[feed].split(", ")]
-    text = ", ".join(f"{name} string" for name in names)
-    return read_csv(spark, f"{folder}/{feed}.csv", text, null_text=None)
+def read_raw(
+    spark: SparkSession, folder: str, feed: str, multi_line: bool = True, infer: bool = False
+) -> DataFrame:
+    """A feed as delivered: every column as text, and the text ``null`` kept.
 
+    ``infer`` takes one more pass to give the columns types instead.
+    """
+    text = ", ".join(f"{name} string" for name in _fields(schemas.FEEDS[feed]))
+    return read_csv(
+        spark, f"{folder}/{feed}.csv", None if infer else text, null_text=None, multi_line=multi_line
+    )
 
-def csv_table(spark: SparkSession, name: str, path: str, schema: str) -> DataFrame:
-    """Declare a table over CSV files in SQL and read it."""
+
+def csv_table(
+    spark: SparkSession, name: str, path: str, schema: str, multi_line: bool = True
+) -> DataFrame:
+    """Declare a table over CSV files in SQL, its columns in the header's order, and read it."""
+    options = {"multiLine": multi_line, "escape": '"'}
+    names = _header(spark, path, schema, **options)
+    columns = ", ".join(f"`{column}` {kind}" for column, kind in names.items())
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING csv "
-        "OPTIONS (path :path, header 'true', multiLine 'true', escape '\"')",
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING csv OPTIONS (path :path, header 'true', "
+        f"multiLine '{str(multi_line).lower()}', escape '\"', enforceSchema 'false')",
         args={"path": path},
     )
     return spark.table(name)

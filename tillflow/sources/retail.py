@@ -3,8 +3,8 @@
 An order's lines are not collected into one array, since one order may hold a
 large part of all lines. A *sale* is one order line, with an ``items`` array of
 one element (NULL for an order without lines); events carry arrays of two, one
-or no elements. Joins appear only where a column needs them: ``email`` follows
-from the customer key, so that most queries read a single table.
+or no elements. ``email`` is the customer's name, by a join; reports per buyer group the orders by the
+customer's key first and join the names afterwards (``named``).
 
 Times stay ``timestamp_ntz`` as stored, which keeps date ranges on the bare
 column and inside the scan.
@@ -19,6 +19,9 @@ from tillflow import schemas
 from tillflow.operators.rows import without
 
 
+BUYER = "customer_id"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -101,11 +104,6 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 # --- shop ------------------------------------------------------------------------
 
 
-def _email(customer_key: str) -> Column:
-    """The customer's name, which is built from the key."""
-    return F.concat(F.lit("Customer#"), F.lpad(F.col(customer_key).cast("string"), 9, "0"))
-
-
 def _line_items() -> Column:
     percent = F.round(F.col("l_discount") * 100).cast("int")
     price = F.col("l_extendedprice")
@@ -121,7 +119,7 @@ def _line_items() -> Column:
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers; the first touch is a made-up offset from a fixed day, by balance."""
+    """Customers; the first touch is a made-up offset from a fixed day, by key."""
     touch = F.lit("1994-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         F.pmod("c_custkey", F.lit(365)).cast("int")
     )
@@ -155,8 +153,9 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     inner join, but not on the optional side of an outer join.
     """
     lines = table(spark, folder, "lineitem")
-    heads = table(spark, folder, "orders")
-    buyer = {"email": _email("o_custkey"), "transaction_timestamp": F.col("o_orderdate")}
+    buyers = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("_email"))
+    heads = table(spark, folder, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"), "left")
+    buyer = {"email": F.col("_email"), "transaction_timestamp": F.col("o_orderdate")}
     nothing = {**buyer, "purchase_revenue_in_usd": F.lit(0.0)}
     sold = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("order_id"),
@@ -175,15 +174,24 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def purchases(spark: SparkSession, folder: str) -> DataFrame:
-    """Sales at order grain, without items."""
+    """Sales at order grain, without items; the buyer is the customer's key."""
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
-        _email("o_custkey").alias("email"),
+        F.col("o_custkey").alias(BUYER),
         F.col("o_orderdate").alias("transaction_timestamp"),
         F.col("o_totalprice").alias("purchase_revenue_in_usd"),
     )
 
 
+def named(spark: SparkSession, folder: str, report: DataFrame) -> DataFrame:
+    """A report per customer key with ``email``, the customer's name, in place of the key."""
+    names = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("_key"), F.col("c_name").alias("email")
+    )
+    joined = report.join(names, F.col(BUYER) == F.col("_key"), "left")
+    return joined.select("email", *[c for c in report.columns if c != BUYER])
+
+
 def counted_purchases(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the number of pieces bought; NULL for an order without lines."""
     pieces = (
@@ -247,16 +255,12 @@ def _event_items() -> Column:
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Clickstream: errors have no user, products from 95 on no traffic source.
 
-    Cities are nations and states their regions: two tables of fixed size, so the
-    broadcasts do not grow with the data. Some users have no known place. The places
+    Cities are nations and states their regions. Some users have no known place. The places
     are made distinct by key, which lets Spark drop the join where nobody reads them.
     """
     place = (
         table(spark, folder, "nation")
-        .join(
-            F.broadcast(table(spark, folder, "region")),
-            F.col("n_regionkey") == F.col("r_regionkey"),
-        )
+        .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy("n_nationkey")
         .agg(F.min("n_name").alias("_city"), F.min("r_name").alias("_state"))
     )
@@ -265,7 +269,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     log = table(spark, folder, "events").withColumns(
         {"_product": product, "_place": F.pmod("user_id", F.lit(28)).cast("int")}
     )
-    return log.join(F.broadcast(place), F.col("_place") == F.col("n_nationkey"), "left").select(
+    return log.join(place, F.col("_place") == F.col("n_nationkey"), "left").select(
         F.when(F.col("event_type") != "error", F.col("user_id").cast("string")).alias("user_id"),
         F.when(bought, schemas.PURCHASE).otherwise(F.col("event_type")).alias("event_name"),
         F.when(F.col("_product") < 95, F.concat(F.lit("src_"), "_product")).alias("traffic_source"),
@@ -283,7 +287,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def replayed_events(spark: SparkSession, folder: str) -> DataFrame:
-    """An at-least-once feed: every event arrives twice."""
+    """An at-least-once feed: every event arrives twice. To be stored before it is cleaned, since
+    Spark would not read a table twice only to drop the repeats."""
     log = events(spark, folder)
     return log.unionAll(log)
 
@@ -303,4 +308,4 @@ def feed(spark: SparkSession, folder: str, name: str) -> DataFrame:
     if name == "sales":
         return text_feed(sales(spark, folder), ["items"], ["transaction_timestamp"])
     moments = ["event_timestamp", "event_previous_timestamp", "user_first_touch_timestamp"]
-    return text_feed(events(spark, folder), ["items", "geo", "ecommerce"], moments)
+    return text_feed(replayed_events(spark, folder), ["items", "geo", "ecommerce"], moments)
