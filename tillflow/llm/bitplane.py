@@ -39,7 +39,7 @@ MAGIC = b"TFPLANE1"
 BLOCK = 1 << 16
 END_ID = 0
 MANIFEST = "path string, n_docs bigint, n_ids bigint, n_bytes bigint, first_id bigint, first_hash bigint"
-DOCUMENTS = "path string, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint"
+DOCUMENTS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 def to_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -193,28 +193,19 @@ def read_files(manifest: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 fs, place = filesystem(path)
                 with fs.open_input_file(place) as source:
-                    found = list(PlaneReader(source).documents())
-                columns = [[path] * len(found), *zip(*found)]
-                types = [pa.string(), *[pa.int64()] * 4]
-                names = ["path", "doc_id", "at", "n_tokens", "ids_crc32"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types)], names=names
-                )
-
-    files = manifest.select("path", "n_ids", "first_id", "first_hash")
+                    columns = list(zip(*PlaneReader(source).documents()))
+                arrays = [pa.array(c, pa.int64()) for c in columns]
+                arrays[1] = pa.array(np.array(columns[1], np.int64) + start)
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
     order = Window.orderBy("first_id", "first_hash", "path")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select(
-        F.col("path").alias("file"), F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start")
-    )
-    count = manifest.count()
-    found = manifest.select("path").repartition(max(1, count)).mapInArrow(read, DOCUMENTS)
-    return found.join(starts, F.col("path") == F.col("file")).select(
-        "doc_id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
-    )
+    starts = manifest.select("path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
+    count = max(1, manifest.count())
+    return starts.repartition(count, "path").mapInArrow(read, DOCUMENTS)
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -36,7 +36,7 @@ def cut_is_safe(text: str) -> bool:
 
 
 #: A word followed by one mark that the vocabularies always cut off.
-MARKED = re.compile(r"([A-Za-z]+)([.,;:!?])")
+MARKED = re.compile("([A-Za-zÀ-ÖØ-öø-ÿĀ-ſ]+)([.,;:!?])")
 
 
 class Encoder:
