@@ -71,7 +71,10 @@ def test_filter_marks_all_repeats_and_few_others(spark):
     assert rows[rows.n == 1].maybe.mean() < 0.03
 
 
-def test_id_bitmap(spark):
+@pytest.mark.parametrize("most", [1 << 29, 1 << 14])
+def test_id_bitmap(spark, monkeypatch, most):
+    """Dense ids by an exact bitmap, and the other way where that would be too large."""
+    monkeypatch.setattr(exact, "MOST_BITS", most)
     docs = cases.frame(spark)
     ids = spark.createDataFrame([(k,) for k in (3, 30, 110, 999)], "of bigint")
     left = exact.without(docs, "doc_id", ids)
