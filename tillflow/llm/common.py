@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tillflow.session import shared_dir
+from tillflow.session import new_folder, stored
+
+__all__ = [
+    "filesystem",
+    "fresh",
+    "let",
+    "new_folder",
+    "stored",
+    "sums_before",
+    "word_count",
+    "words",
+]
 
 #: A word is a run of anything but blanks, tabs, line ends, vertical tabs and form feeds.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -43,20 +53,6 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A path of its own in the shared folder, below one folder per application."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/tillflow-{app}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: short lineage, known size."""
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system that holds ``uri`` (local, HDFS or an object store) and the path in it."""
     return fs.FileSystem.from_uri(uri)
