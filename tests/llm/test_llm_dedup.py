@@ -115,9 +115,8 @@ def near_copies(count, seed=1):
     return [(i, t, "en", "a", 1, *["clash"] * len(cases.CLASHING)) for i, t in out]
 
 
-@pytest.mark.parametrize("common", [2, 6])
-def test_crowds_and_chains(spark, monkeypatch, common):
-    monkeypatch.setattr(jaccard, "COMMON", common)
+def test_crowds_and_chains(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "COMMON", 3)
     monkeypatch.setattr(jaccard, "BATCH_ROWS", 37)
     data = near_copies(70)
     docs = cases.frame(spark, data).repartition(3)
@@ -185,9 +184,8 @@ def by_chunk(data):
     return {k: sorted(set(v)) for k, v in at.items()}
 
 
-@pytest.mark.parametrize("common", [2, 6])
-def test_repeated_chunks(spark, monkeypatch, common):
-    monkeypatch.setattr(chunking, "COMMON", common)
+def test_repeated_chunks(spark, monkeypatch):
+    monkeypatch.setattr(chunking, "COMMON", 3)
     monkeypatch.setattr(chunking, "BATCH_ROWS", 9)
     data = [r for k, r in enumerate(cases.rows()) if r[0] != 30 or k % 2]  # ids tell rows apart
     got = chunking.repeats(cases.frame(spark, data).repartition(2)).collect()

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import fresh, stored
-from tillflow.llm.exact import maybe_among
+from tillflow.llm.exact import flagged
 
 #: A byte begins a chunk with a chance of one in ``MEAN``, within these limits of its length.
 MEAN, LEAST, MOST = 24, 16, 256
@@ -229,7 +229,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     spans = stored(spans, "spans")
     maybe, of, list_name = fresh(docs, "_maybe", "_of", "_spans")
-    marked = maybe_among(docs, id_column, spans.select("of"), maybe)
+    marked = flagged(docs, id_column, spans.select("of"), maybe)
     side = spans.withColumnsRenamed({"of": of, "spans": list_name})
     hit = marked.where(F.col(maybe)).join(side, F.col(id_column) == F.col(of), "left")
 

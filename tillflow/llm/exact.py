@@ -54,13 +54,17 @@ def repeat_filter(hashes: DataFrame, hash_column: str, rows: int, bits_a_row: in
     return stored(bitmaps, "repeat-filter"), bits
 
 
-def in_bitmap(bitmap: Column, cell: Column) -> Column:
-    place = F.bitmap_bit_position(cell)
+def bit_of(bitmap: Column, place: Column) -> Column:
+    """Whether a bit of a bitmap is set."""
     byte = F.conv(F.hex(F.substring(bitmap, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10)
     shifted = F.call_function("shiftright", byte.cast("int"), F.pmod(place, F.lit(8)).cast("int"))
     return shifted.bitwiseAND(1) == 1
 
 
+def in_bitmap(bitmap: Column, cell: Column) -> Column:
+    return bit_of(bitmap, F.bitmap_bit_position(cell))
+
+
 def maybe_repeated(
     df: DataFrame, hash_column: str, bitmaps: DataFrame, bits: int, into: str
 ) -> DataFrame:
@@ -89,13 +93,35 @@ def maybe_among(df: DataFrame, id_column: str, ids: DataFrame, into: str) -> Dat
     return joined.select(*df.columns, hit.alias(into))
 
 
+def flagged(df: DataFrame, id_column: str, ids: DataFrame, into: str) -> DataFrame:
+    """Add the boolean ``into``: is the id in ``ids`` (one column, stored, distinct)?
+
+    Whole-number ids that lie close make a small exact bitmap, which is broadcast if it has at most
+    ``MOST_BITS``. For others, rows that a hashed bitmap can't clear meet a join.
+    """
+    name = ids.columns[0]
+    of, found, same = fresh(df, "_bucket", "_bits", "_same")
+    bucket = lambda column: F.bitmap_bucket_number(F.col(column).cast("bigint"))
+    place = lambda column: F.bitmap_bit_position(F.col(column).cast("bigint"))
+    known = ids.where(F.col(name).isNotNull())
+    bitmaps = stored(
+        known.groupBy(bucket(name).alias(of)).agg(F.bitmap_construct_agg(place(name)).alias(found)), "ids"
+    )
+    if bitmaps.count() << 15 <= MOST_BITS:
+        joined = df.join(F.broadcast(bitmaps), bucket(id_column) == F.col(of), "left")
+        hit = F.coalesce(bit_of(F.col(found), place(id_column)), F.lit(False))
+        return joined.select(*df.columns, hit.alias(into))
+    marked = maybe_among(df, id_column, known, into)
+    side = known.select(F.col(name).alias(same))
+    met = marked.where(F.col(into)).join(side, F.col(id_column) == F.col(same), "left")
+    met = met.select(*df.columns, F.col(same).isNotNull().alias(into))
+    return marked.where(~F.col(into)).unionByName(met)
+
+
 def without(docs: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
-    """``docs`` without the ids in ``ids``; only rows that the bitmap can't clear meet a join."""
-    maybe, same = fresh(docs, "_maybe", "_same")
-    marked = maybe_among(docs, id_column, ids, maybe)
-    side = ids.select(F.col(ids.columns[0]).alias(same))
-    left = marked.where(F.col(maybe)).join(side, F.col(id_column) == F.col(same), "left_anti")
-    return marked.where(~F.col(maybe)).select(docs.columns).unionByName(left.select(docs.columns))
+    """``docs`` without the ids in ``ids`` (one column, stored, distinct)."""
+    (listed,) = fresh(docs, "_listed")
+    return flagged(docs, id_column, ids, listed).where(~F.col(listed)).select(docs.columns)
 
 
 def resolve(

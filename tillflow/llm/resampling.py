@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import stored
-from tillflow.llm.exact import maybe_among
+from tillflow.llm.exact import flagged
 from tillflow.llm.hashing import mix, word_hashes
 
 BUCKETS = 1 << 16
@@ -160,12 +160,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None) ->
     if share is None:
         share = named.agg(F.avg("good")).first()[0] or 0.0
     target = stored(named.where("good = 1").select(F.col("doc_id").alias("of")), "target")
-    marked = maybe_among(docs.select("doc_id", "text"), "doc_id", target, "maybe")
-    # Only rows that may be targets meet the join.
-    found = marked.where("maybe").join(target, F.col("doc_id") == F.col("of"), "left")
-    told = marked.where("NOT maybe").select("text", F.lit(False).alias("is_target")).unionByName(
-        found.select("text", F.col("of").isNotNull().alias("is_target"))
-    )
+    told = flagged(docs.select("doc_id", "text"), "doc_id", target, "is_target").select("text", "is_target")
     ratio = log_ratio(*counts(told))
     rows = weighed(docs, ratio).withColumn("row", F.monotonically_increasing_id())
     mark = F.xxhash64(F.coalesce("doc_id", "row"), F.lit(SEED))
