@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from tillflow.llm.common import stored
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Is every larger node tied to one smaller node only, which itself is tied to none?"""
+    several = edges.groupBy("u").count().where("count > 1")
+    chained = edges.join(edges.select(F.col("v").alias("end")), F.col("u") == F.col("end"), "left_semi")
+    return several.isEmpty() and chained.isEmpty()
+
+
 def labelled(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``node, label`` of every node in ``links`` (columns ``a, b``): its component's least node.
 
@@ -17,9 +24,11 @@ def labelled(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     very many links is no single task's work, and the joins meet stored tables, whose frequent
     keys Spark splits.
     """
-    edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    state = None
+    directed = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = stored(directed.distinct(), "links")
     for _ in range(most_rounds):
+        if _settled(edges):
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stored(both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), "least")
         least = least.withColumn("m", F.least("m", "w"))
@@ -33,10 +42,6 @@ def labelled(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         tied = joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = least.select(F.col("w").alias("u"), F.col("m").alias("v"))
         edges = stored(tied.unionByName(own).where("u <> v").distinct(), "small-star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     else:
         raise RuntimeError("the components did not settle")
     roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("label"))

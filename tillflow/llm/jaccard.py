@@ -18,12 +18,13 @@ shingles) is counted first over all documents. So passages that many documents s
 Only components are asked for, so a list of candidates need not become all its pairs. Equal sets are
 one node from the start. In rounds, every node is compared with one pivot of its lists, and lists
 that lie within one component are done. At the end, in lists that still span several, each node is
-compared with all nodes outside its component; pairs whose 256 parity bits differ in more than H
-places are passed over, since each bit that differs is a shingle that differs.
+met by all nodes outside its component; pairs whose sketches of ``SKETCH`` parity bits differ in more
+than H places are passed over, since each bit that differs is a shingle that differs, and the closest
+pairs are compared first, until all that are left lie within components.
 
 Scale: texts are never shuffled. Segment hashes travel packed by the thousand, in buckets of bounded
-size; those that repeat within a batch of documents go around the buckets, spread by batch. A set is
-stored only if one of its segments is repeated elsewhere.
+size; those that repeat within a batch of documents go around the buckets, spread by batch. Sketches are
+stored for sets with a segment that is repeated elsewhere, and shingles for those whose sketch is near.
 
 Defined results: NULL and empty texts have no shingles, no links, and are their own component. Rows
 with a NULL id are linked with nothing and have a NULL component. Rows with the same id are one
@@ -45,20 +46,26 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.common import stored
 from tillflow.llm.components import labelled
-from tillflow.llm.exact import maybe_among, without
+from tillflow.llm.exact import flagged, without
 from tillflow.llm.hashing import mix, shingles
+from tillflow.operators.rows import first_rows
 
 WORDS = 5
 #: One in so many segments is also indexed with one shingle left out.
-DELETABLE = 16
+DELETABLE = 32
 #: Shingles held by more than this share of all shingles' number count as frequent: at most 2**18.
 FREQUENT = 1 << 18
 #: Texts and bytes that are worked on together, and segment hashes of a bucket.
-BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
-BUCKET = 1 << 20
+BATCH_ROWS, BATCH_BYTES = 4096, 2 << 20
+BUCKET = 1 << 19
+#: Bytes of a segment hash that travel, besides the first bits, which its bucket tells. A bucket has
+#: some 2**19 hashes at any size of the input, so few of them agree by chance.
+HASH_BYTES = 4
+#: Bits of a set's parity sketch.
+SKETCH = 2048
 #: Entries of a segment hash in one batch from which on it goes around the buckets.
 COMMON = 6
-ROUNDS = 3
+ROUNDS = 2
 INDEX, PROBE, COMMON_FLAG = 1, 2, 4
 U64 = np.uint64
 
@@ -68,11 +75,11 @@ U64 = np.uint64
 
 @lru_cache(maxsize=1)
 def _bands() -> np.ndarray:
-    """The least size of each band; similar sets lie in the same or in neighbouring bands."""
-    lows = [1]
-    while lows[-1] < 1 << 40:
-        lows.append(max(lows[-1] + 1, -(-lows[-1] * 4 // 3)))
-    return np.array(lows, np.int64)
+    """The least size of each band; similar sets lie in the same or in neighbouring bands.
+
+    Wide bands make segments smaller, narrow ones let more sets probe two bands.
+    """
+    return 1 << np.arange(42, dtype=np.int64)
 
 
 def bands(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -272,11 +279,11 @@ def frequent(info: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
 PACKED = "bucket int, hashes binary, places binary, high binary, low binary, docs binary, sizes binary, lacking int"
 
 
-def packed(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], buckets: int, wider: int) -> DataFrame:
-    """Segment hashes of all sets, packed by bucket."""
+def packed(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], shift: int, wider: int) -> DataFrame:
+    """Segment hashes of all sets, packed by bucket: their bits above ``shift``."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(common)
-    shift = 64 - max(buckets.bit_length() - 1, 1)
+    keep = ~U64((1 << max(0, shift - 8 * HASH_BYTES)) - 1)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = shared.value
@@ -298,6 +305,7 @@ def packed(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], buckets: int
                     frequency = np.where(known[at] == tokens, counts[at], 0)
                 made = [signatures(tokens, owner, sizes, frequency, low, wider) for low in (False, True)]
                 hashes, owners, flags, lacking = [np.concatenate(x) for x in zip(*made)]
+                hashes &= keep
                 order = np.argsort(hashes, kind="stable")
                 hashes, entries = hashes[order], (owners[order] | (flags[order] << 13)).astype(np.uint16)
                 new = np.ones(len(hashes), bool)
@@ -312,9 +320,9 @@ def packed(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], buckets: int
                 turn += 1
                 around = np.flatnonzero(often)
                 if len(around) or len(lacking):
-                    spread = int(mix(np.array([sets.ids[0] * 31 + turn]).astype(U64))[0] % U64(max(buckets, 1)))
+                    spread = int(mix(np.array([sets.ids[0] * 31 + turn]).astype(U64))[0] % U64(1 << (64 - shift)))
                     sent.append((-1 - spread, around))
-                yield _packed(sent, hashes, entries, sets, once, len(lacking))
+                yield _packed(sent, hashes, entries, sets, once, len(lacking), shift)
 
     return texts.mapInArrow(scan, PACKED)
 
@@ -327,7 +335,20 @@ def _parts(bucket: np.ndarray, stay: np.ndarray) -> Iterator[tuple[int, np.ndarr
         yield int(kept[start]), places[start:end]
 
 
-def _packed(sent, hashes, entries, sets, once, lacking) -> pa.RecordBatch:
+def _short(hashes: np.ndarray, shift: int) -> bytes:
+    """The ``HASH_BYTES`` bytes below the bits that name the bucket."""
+    below = hashes << U64(64 - shift)
+    return below.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
+
+
+def _long(data: bytes, bucket: int, shift: int) -> np.ndarray:
+    """Hashes with the bits of their bucket in front; the bits that did not travel are 0."""
+    wide = np.zeros((len(data) // HASH_BYTES, 8), np.uint8)
+    wide[:, :HASH_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, HASH_BYTES)
+    return (wide.view(">u8").ravel().astype(U64) >> U64(64 - shift)) | U64(bucket) << U64(shift)
+
+
+def _packed(sent, hashes, entries, sets, once, lacking, shift) -> pa.RecordBatch:
     rows = []
     for number, places in sent:
         inside = entries[places]
@@ -336,7 +357,7 @@ def _packed(sent, hashes, entries, sets, once, lacking) -> pa.RecordBatch:
         rows.append(
             (
                 number,
-                hashes[places].tobytes(),
+                _short(hashes[places], shift) if number >= 0 else hashes[places].tobytes(),
                 ((inside & 0xE000) | renamed.astype(np.uint16)).tobytes(),
                 sets.key[rows_of, 0].tobytes(),
                 sets.key[rows_of, 1].tobytes(),
@@ -354,21 +375,22 @@ def _packed(sent, hashes, entries, sets, once, lacking) -> pa.RecordBatch:
 REPEATED = "hash bigint, high bigint, low bigint, doc bigint, n int, flags int, lacking int"
 
 
-def _unpacked(frame: pd.DataFrame) -> dict[str, np.ndarray]:
+def _unpacked(frame: pd.DataFrame, shift: int) -> dict[str, np.ndarray]:
     out: dict[str, list] = {name: [] for name in ("hash", "flags", "high", "low", "doc", "n")}
     for row in frame.itertuples():
         entries = np.frombuffer(row.places, np.uint16)
         place = entries & 0x1FFF
-        out["hash"].append(np.frombuffer(row.hashes, U64))
+        whole = row.bucket < 0
+        out["hash"].append(np.frombuffer(row.hashes, U64) if whole else _long(row.hashes, row.bucket, shift))
         out["flags"].append((entries >> 13).astype(np.int32))
         for name, column, kind in (("high", row.high, U64), ("low", row.low, U64), ("doc", row.docs, np.int64), ("n", row.sizes, np.int32)):
             out[name].append(np.frombuffer(column, kind)[place])
     return {name: np.concatenate(parts) for name, parts in out.items()}
 
 
-def repeated_in_bucket(frame: pd.DataFrame) -> pd.DataFrame:
+def repeated_in_bucket(frame: pd.DataFrame, shift: int) -> pd.DataFrame:
     """The entries of the segment hashes that two different sets of the bucket share."""
-    rows = _unpacked(frame)
+    rows = _unpacked(frame, shift)
     if int(frame["bucket"].iloc[0]) >= 0:
         order = np.argsort(rows["hash"], kind="stable")
         rows = {name: column[order] for name, column in rows.items()}
@@ -395,7 +417,9 @@ def repeated_in_bucket(frame: pd.DataFrame) -> pd.DataFrame:
 def repeated(texts: DataFrame, common, total: int, wider: int = 1) -> DataFrame:
     """``hash, doc, n, flags, lacking`` for segment hashes that several sets share; stored."""
     buckets = 1 << max(3, math.ceil(math.log2(max(1, total * 0.75 / BUCKET))))
-    rows = packed(texts, common, buckets, wider).groupBy("bucket").applyInPandas(repeated_in_bucket, REPEATED)
+    shift = 64 - (buckets.bit_length() - 1)
+    rows = packed(texts, common, shift, wider).groupBy("bucket")
+    rows = rows.applyInPandas(lambda frame: repeated_in_bucket(frame, shift), REPEATED)
     # A set is named by its least id; the rows of one set and hash may come from several batches.
     merged = rows.groupBy("hash", "high", "low").agg(
         F.min("doc").alias("doc"),
@@ -409,54 +433,74 @@ def repeated(texts: DataFrame, common, total: int, wider: int = 1) -> DataFrame:
 # --- verification -----------------------------------------------------------------------
 
 
-def kept_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc, n, parity, tokens`` of the wanted documents; stored. Texts meet only a bitmap."""
-    near = maybe_among(texts, "doc", wanted, "maybe").where("maybe")
+def _described(texts: DataFrame, wanted: DataFrame, column: str, kind: str, describe) -> DataFrame:
+    """``doc, n`` and ``describe`` of the shingles of the wanted documents; stored."""
+    listed = flagged(texts, "doc", wanted, "wanted").where("wanted")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 sets = Sets(part)
                 use = np.flatnonzero(sets.sizes > 0)
-                data = [sets.tokens[sets.bounds[i] : sets.bounds[i + 1]] for i in use]
+                data = [describe(sets.tokens[sets.bounds[i] : sets.bounds[i + 1]]) for i in use]
+                arrow = pa.array(data, pa.binary() if kind == "binary" else pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(sets.ids[use]),
-                        pa.array(sets.sizes[use]),
-                        pa.array([_parity(t) for t in data], pa.list_(pa.int64())),
-                        pa.array([t.tobytes() for t in data], pa.binary()),
-                    ],
-                    names=["doc", "n", "parity", "tokens"],
+                    [pa.array(sets.ids[use]), pa.array(sets.sizes[use]), arrow], names=["doc", "n", column]
                 )
 
-    made = near.select("doc", "text").mapInArrow(scan, "doc bigint, n bigint, parity array<bigint>, tokens binary")
-    return stored(made.join(wanted, "doc", "left_semi"), "kept-sets")
+    made = listed.select("doc", "text").mapInArrow(scan, f"doc bigint, n bigint, {column} {kind}")
+    return stored(made, column)
+
+
+def sketches(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc, n, parity`` of the wanted documents."""
+    return _described(texts, wanted, "parity", "array<bigint>", _parity)
+
+
+class TokenSets:
+    """The shingles of the documents that verification has needed so far."""
+
+    def __init__(self, texts: DataFrame):
+        self.texts = texts
+        self.held = texts.sparkSession.createDataFrame([], "doc bigint, n bigint, tokens binary")
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """``doc, n, tokens`` of the documents in ``a`` and ``b``; only new ones are read from texts."""
+        docs = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
+        needed = stored(docs.distinct().join(self.held, "doc", "left_anti"), "needed")
+        if not needed.isEmpty():
+            more = _described(self.texts, needed, "tokens", "binary", lambda t: t.tobytes())
+            self.held = self.held.unionByName(more)
+        return self.held
 
 
 def _parity(tokens: np.ndarray) -> np.ndarray:
-    """256 bits: whether an odd number of shingles falls on each."""
-    odd = np.bincount((tokens & U64(255)).astype(np.int64), minlength=256) & 1
+    """The sketch: whether an odd number of shingles falls on each of its bits."""
+    odd = np.bincount((tokens % U64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the distinct pairs ``a, b`` that are similar; stored."""
-    light = sets.select("doc", "n", "parity")
+def near(pairs: DataFrame, drawn: DataFrame) -> DataFrame:
+    """``a, b, apart`` of the distinct pairs that sizes and sketches allow to be similar; stored."""
     rows = pairs
     for side in ("a", "b"):
-        one = light.select(
+        one = drawn.select(
             F.col("doc").alias(f"d_{side}"), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}")
         )
         rows = rows.join(one, F.col(side) == F.col(f"d_{side}"))
-    apart = F.lit(0)
-    for k in range(4):
-        apart = apart + F.bit_count(F.col("p_a")[k].bitwiseXOR(F.col("p_b")[k]))
-    total = F.col("n_a") + F.col("n_b")
-    near = rows.where((4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")) & (7 * apart <= total))
-    near = stored(near.select("a", "b"), "near")
+    differing = F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    rows = rows.where(4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")).withColumn(
+        "apart", F.aggregate(differing, F.lit(0), lambda total, x: total + x)
+    )
+    return stored(rows.where(7 * F.col("apart") <= F.col("n_a") + F.col("n_b")).select("a", "b", "apart"), "near")
+
+
+def similar(pairs: DataFrame, held: TokenSets) -> DataFrame:
+    """Those of the stored pairs ``a, b`` that are similar, compared shingle by shingle; stored."""
+    sets = held.of(pairs)
     for side in ("a", "b"):
         one = sets.select(F.col("doc").alias(f"d_{side}"), F.col("tokens").alias(f"t_{side}"))
-        near = near.join(one, F.col(side) == F.col(f"d_{side}"))
+        pairs = pairs.join(one, F.col(side) == F.col(f"d_{side}"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -470,7 +514,8 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 good.append(100 * shared >= 75 * (len(both) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return stored(near.select("a", "b", "t_a", "t_b").mapInArrow(compare, "a bigint, b bigint"), "similar")
+    compared = pairs.select("a", "b", "t_a", "t_b").mapInArrow(compare, "a bigint, b bigint")
+    return stored(compared, "similar")
 
 
 # --- components ----------------------------------------------------------------------------
@@ -485,45 +530,68 @@ def spanning(lists: DataFrame) -> DataFrame:
     return stored(lists.join(stored(open_lists, "open"), F.col("hash") == F.col("same"), "left_semi"), "lists")
 
 
-def relabelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    side = labels.select("node", F.col("label").alias("found"))
-    joined = lists.join(side, F.col("doc") == F.col("node"), "left")
-    return joined.withColumn("label", F.coalesce("found", "doc")).drop("node", "found")
+def relabelled(rows: DataFrame, labels: DataFrame, node: str, into: str) -> DataFrame:
+    """``rows`` with ``into``, the component of the column ``node``."""
+    side = labels.select(F.col("node").alias("_node"), F.col("label").alias("_found"))
+    joined = rows.drop(into).join(side, F.col(node) == F.col("_node"), "left")
+    return joined.withColumn(into, F.coalesce("_found", node)).drop("_node", "_found")
 
 
 def clustered(lists: DataFrame, texts: DataFrame) -> DataFrame:
     """``node, label`` of all documents that are linked with another."""
     spark = lists.sparkSession
     lists = spanning(lists.select("hash", "doc", "n", "flags").withColumn("label", F.col("doc")))
-    sets = kept_sets(texts, lists.select("doc").distinct())
-    links = stored(spark.createDataFrame([], "a bigint, b bigint"), "similar")
-    tested = spark.createDataFrame([], "doc bigint, pivot bigint")
+    if lists.isEmpty():
+        return spark.createDataFrame([], "node bigint, label bigint")
+    drawn = sketches(texts, stored(lists.select("doc").distinct(), "wanted"))
+    sets = TokenSets(texts)
+    links = spark.createDataFrame([], "a bigint, b bigint")
+    tested = links
     for _ in range(ROUNDS):
         pivots = lists.groupBy(F.col("hash").alias("same")).agg(F.min(F.struct("label", "doc")).alias("pivot"))
         met = lists.join(stored(pivots, "pivots"), F.col("hash") == F.col("same"))
         met = met.where(F.col("label") != F.col("pivot.label"))
-        votes = met.groupBy("doc", F.col("pivot.doc").alias("pivot")).agg(F.count("*").alias("votes"))
-        votes = votes.join(tested, ["doc", "pivot"], "left_anti")
-        best = votes.groupBy("doc").agg(F.max(F.struct("votes", (-F.col("pivot")).alias("less"))).alias("best"))
-        best = stored(best.select("doc", (-F.col("best.less")).alias("pivot")), "chosen")
-        tested = tested.unionByName(best)
-        found = linked(best.select(F.col("doc").alias("a"), F.col("pivot").alias("b")), sets)
-        links = stored(links.unionByName(found), "links")
-        lists = spanning(relabelled(lists, stored(labelled(links), "labels")))
-    # What still lies apart: every node outside a list's largest component against all in it.
+        votes = met.groupBy(F.col("doc").alias("a"), F.col("pivot.doc").alias("b")).agg(F.count("*").alias("votes"))
+        votes = votes.join(tested, ["a", "b"], "left_anti")
+        best = votes.groupBy("a").agg(F.max(F.struct("votes", (-F.col("b")).alias("less"))).alias("best"))
+        chosen = stored(best.select("a", (-F.col("best.less")).alias("b")), "chosen")
+        tested = tested.unionByName(chosen)
+        links = stored(links.unionByName(similar(near(chosen, drawn).select("a", "b"), sets)), "linked")
+        labels = stored(labelled(links), "labels")
+        lists = spanning(relabelled(lists, labels, "doc", "label"))
+        if lists.isEmpty():
+            return labels
+    # What still lies apart: in each list, all outside its largest component against all.
     counts = lists.groupBy("hash", "label").agg(F.count("*").alias("size"))
     largest = counts.groupBy(F.col("hash").alias("same")).agg(F.max(F.struct("size", "label")).alias("most"))
     minor = lists.join(stored(largest, "largest"), F.col("hash") == F.col("same")).where(
         F.col("label") != F.col("most.label")
     )
-    left = stored(minor.select("hash", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"), F.col("flags").alias("f_a")), "minor")
-    right = lists.select("hash", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"), F.col("flags").alias("f_b"))
-    met = left.join(right, "hash").where(
-        "l_a <> l_b AND (f_a | f_b) = 3 AND 4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)"
+    one, two = (
+        rows.select("hash", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "label", "flags")])
+        for side, rows in (("a", minor), ("b", lists))
+    )
+    met = stored(one, "minor").join(two, "hash").where(
+        "label_a <> label_b AND (flags_a | flags_b) = 3 AND 4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)"
     )
-    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    found = linked(stored(pairs, "pairs"), sets)
-    return labelled(links.unionByName(found))
+    pairs = met.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct()
+    left = near(stored(pairs, "pairs"), drawn)
+    if left.isEmpty():
+        return labels
+    # Each node's closest pairs first, more in each round: most others then lie within one component.
+    most = 1
+    while not left.isEmpty():
+        ends = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
+        best = first_rows(ends, ["a"], ["apart", "b"], most)
+        chosen = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        chosen = stored(chosen, "closest")
+        links = links.unionByName(similar(chosen, sets))
+        labels = stored(labelled(links), "labels")
+        left = left.join(chosen, ["a", "b"], "left_anti")
+        left = relabelled(relabelled(left, labels, "a", "l_a"), labels, "b", "l_b")
+        left = stored(left.where("l_a <> l_b").select("a", "b", "apart"), "left")
+        most *= 8
+    return labels
 
 
 def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
