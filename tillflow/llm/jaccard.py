@@ -467,11 +467,12 @@ class TokenSets:
     def of(self, pairs: DataFrame) -> DataFrame:
         """``doc, n, tokens`` of the documents in ``a`` and ``b``; only new ones are read from texts."""
         docs = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
-        needed = stored(docs.distinct().join(self.held, "doc", "left_anti"), "needed")
+        docs = stored(docs.distinct(), "compared")
+        needed = stored(docs.join(self.held.select("doc"), "doc", "left_anti"), "needed")
         if not needed.isEmpty():
             more = _described(self.texts, needed, "tokens", "binary", lambda t: t.tobytes())
             self.held = self.held.unionByName(more)
-        return self.held
+        return flagged(self.held, "doc", docs, "use").where("use").drop("use")
 
 
 def _parity(tokens: np.ndarray) -> np.ndarray:
