@@ -78,6 +78,18 @@ def test_estimates_against_numpy(spark):
     assert np.allclose(got, root)
 
 
+def test_a_third_of_junk_copies(spark):
+    """Copies of one junk text in a third of a group, and other junk like it, are rejected."""
+    marks = lambda k, n: " ".join(w + "###" for w in cases.prose(k, n).split())
+    data = [(k, cases.prose(k, 60 + k), "en", "a", 1) for k in range(200)]
+    data += [(k, marks(7, 150), "en", "a", 1) for k in range(1000, 1100)]
+    data += [(k, marks(k, 100 + k % 90), "en", "a", 1) for k in range(2000, 2020)]
+    docs = cases.frame(spark, [(*r, *["clash"] * len(cases.CLASHING)) for r in data])
+    rated = outliers.rate(docs).collect()
+    assert not any(r.base_failed for r in rated)
+    assert {r.doc_id for r in rated if r.kept} == set(range(200))
+
+
 def test_rules_on_little(spark):
     empty = cases.frame(spark, [])
     assert outliers.rate(empty).count() == 0
