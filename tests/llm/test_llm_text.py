@@ -90,6 +90,24 @@ def test_a_third_of_junk_copies(spark):
     assert {r.doc_id for r in rated if r.kept} == set(range(200))
 
 
+def repeating(seed: int, words: int, percent: int, mark: str) -> str:
+    """Prose of which ten-word passages, each there twice, make up ``percent`` of the words."""
+    twice, lines = round(words * percent / 2000), [cases.prose(1000 * seed + k, 10) for k in range(words // 10)]
+    return mark.join([*lines[: len(lines) - twice], *lines[:twice]])
+
+
+def test_repeated_words_are_rejected(spark):
+    """30-50% of repeated words, in lines or not, among clean documents of several lengths."""
+    data = [(k, repeating(k, 60 + 10 * (k % 60), 0, "\n "[k % 2]), "en", "a", 1) for k in range(300)]
+    data += [(1000 + k, repeating(400 + k, 400, 5, "\n "[k % 2]), "en", "a", 1) for k in range(10)]
+    data += [(2000 + k, repeating(500 + k, 200 + 40 * (k % 8), 30 + k, "\n "[k % 2]), "en", "a", 1) for k in range(20)]
+    docs = cases.frame(spark, [(*r, *["clash"] * len(cases.CLASHING)) for r in data])
+    rated = outliers.rate(docs).collect()
+    bad = [r for r in rated if r.doc_id >= 2000]
+    assert all(not r.base_failed and 0.28 < r.n_repeat_words / r.n_words <= 0.5 for r in bad)
+    assert {r.doc_id for r in rated if r.kept} == {r[0] for r in data if r[0] < 2000}
+
+
 def test_rules_on_little(spark):
     empty = cases.frame(spark, [])
     assert outliers.rate(empty).count() == 0

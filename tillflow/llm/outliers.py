@@ -40,12 +40,12 @@ UNIT = 1 << 12
 FINE = 16
 BINS = 64 * FINE
 #: Smallest deviation of each statistic; statistics that are mostly zero have no spread of their own.
-FLOORS = {"size": 0.25, "length": 0.05, "symbols": 0.2, "lines": 0.35, "repeats": 0.35}
+#: Where clean documents repeat nothing, "repeats" alone passes the limit from a quarter of the words on.
+FLOORS = {"size": 0.25, "length": 0.05, "symbols": 0.2, "lines": 0.18, "repeats": 0.18}
 NAMES = list(FLOORS)
 #: Chi-squared with five degrees of freedom: its median, the factor that makes the covariance of
-#: the closest half consistent, and its limit at about one in 10**10 (statistics of
-#: clean text have longer tails than the normal distribution).
-MEDIAN, CONSISTENT, LIMIT = 4.3515, 1.9122, 55.0
+#: the closest half consistent, and its limit at one in 10**4.
+MEDIAN, CONSISTENT, LIMIT = 4.3515, 1.9122, 25.745
 
 
 def repeated_words(tokens: Column) -> Column:
