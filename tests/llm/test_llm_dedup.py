@@ -217,6 +217,30 @@ def test_passages_and_cutting(spark):
     assert all(len(cut[k]) < len(texts[k]) - 200 for k in range(1, 6))
 
 
+def test_every_repeated_byte_is_kept_once(spark):
+    """Copies that hold a passage of an earlier document, and a passage within one document twice."""
+    shared, whole = cases.prose(1234, 60), f"{cases.prose(5, 60)} {cases.prose(1234, 60)} {cases.prose(6, 60)}"
+    twice = cases.prose(77, 50)
+    texts = {1: f"{cases.prose(1, 40)} {shared} {cases.prose(2, 40)}", 5: whole, 7: whole}
+    texts[9] = f"{cases.prose(9, 30)} {twice} {cases.prose(10, 30)} {twice} {whole[:400]}"
+    docs = cases.frame(spark, [(i, t, "en", "a", 1, *["clash"] * len(cases.CLASHING)) for i, t in texts.items()])
+    raw = {i: t.encode() for i, t in texts.items()}
+    again = {c: p for c, p in by_chunk(list(texts.items())).items() if len({d for d, _ in p}) > 1}
+    for least in (1, chunking.PASSAGE_BYTES):
+        spans = chunking.parts(docs, least).collect()
+        covers = lambda d, a, b: [r for r in spans if r.doc_id == d and r.start <= a and b <= r.end]
+        for r in spans:
+            part = raw[r.doc_id][r.start : r.end]
+            assert raw[r.first_doc_id][r.first_start :].startswith(part)
+            assert r.kept == ((r.doc_id, r.start) == (r.first_doc_id, r.first_start))
+            assert not any(x for x in spans if not x.kept and x.doc_id == r.first_doc_id and x.start < r.first_start + len(part) and r.first_start < x.end)
+        if least == 1:
+            for chunk, places in again.items():
+                found = [x.kept for d, a in places for x in covers(d, a, a + len(chunk))]
+                assert len(found) == len(places) and found.count(True) == 1
+        assert sum(r.end - r.start for r in spans if r.doc_id == 5 and r.kept) > 500
+
+
 def test_cuts_move_with_insertions():
     raw = cases.prose(8, 4000, "abcdefghijäö").encode()
     moved = raw[:5000] + b"inserted words " + raw[5000:]

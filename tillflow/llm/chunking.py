@@ -157,7 +157,8 @@ def repeated_in_bucket(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The chunks that occur more than once: ``digest, doc, start, length, first_doc, across, copies, kept``.
+    """The chunks that occur more than once: ``digest, doc, start, length, first_doc, first_start, across, copies,
+    kept``.
 
     ``across`` tells whether several documents hold the chunk; ``kept`` marks its first occurrence.
     Stored.
@@ -185,6 +186,7 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             "start",
             "length",
             real(first["row"]).alias("first_doc"),
+            first["start"].alias("first_start"),
             (first["row"] != F.col("most")).alias("across"),
             "copies",
             ((first["row"] == F.col("row")) & (first["start"] == F.col("start"))).alias("kept"),
@@ -198,7 +200,8 @@ def passages(docs: DataFrame, least: int = PASSAGE_BYTES) -> DataFrame:
     ``doc_id, start, end`` (in bytes), ``n_chunks, first_doc_id, copies, kept``.
 
     ``first_doc_id`` is the least document that holds a chunk of the run, ``copies`` the most
-    occurrences of one, and ``kept`` tells whether the whole run is its first occurrence.
+    occurrences of one, and ``kept`` tells whether the whole run is its first occurrence; a run that is
+    not kept may hold first occurrences, which ``parts()`` tells apart.
     """
     shared = repeats(docs).where("across")
     order = Window.partitionBy("doc").orderBy("start", "digest")
@@ -218,6 +221,41 @@ def passages(docs: DataFrame, least: int = PASSAGE_BYTES) -> DataFrame:
     )
 
 
+def parts(docs: DataFrame, least: int = PASSAGE_BYTES) -> DataFrame:
+    """Runs of neighbouring chunks that other documents hold too, of ``least`` bytes or more, cut into
+    parts that have their first occurrence in one piece. One row a part: ``doc_id, start, end`` (in
+    bytes), ``n_chunks, first_doc_id, first_start, copies, kept``.
+
+    The bytes of a part are those of document ``first_doc_id`` from ``first_start`` on; ``kept`` tells
+    whether the part is that first occurrence, ``copies`` the most occurrences of one of its chunks.
+    """
+    shared = repeats(docs).where("across")
+    order = Window.partitionBy("doc").orderBy("start", "digest")
+    last = lambda name: F.lag(name).over(order)
+    begins = ~F.coalesce(last("start") + last("length") == F.col("start"), F.lit(False))
+    goes_on = (
+        last("first_doc").eqNullSafe(F.col("first_doc"))
+        & (last("first_start") + last("length") == F.col("first_start"))
+        & (last("kept") == F.col("kept"))
+    )
+    marked = shared.withColumns({"begins": begins.cast("int"), "opens": (begins | ~goes_on).cast("int")})
+    placed = marked.withColumns({"run": F.sum("begins").over(order), "part": F.sum("opens").over(order)})
+    spans = placed.groupBy("doc", "run", "part").agg(
+        F.min("start").alias("start"),
+        F.max(F.col("start") + F.col("length")).alias("end"),
+        F.count("*").cast("bigint").alias("n_chunks"),
+        F.min("first_doc").alias("first_doc_id"),
+        F.min("first_start").alias("first_start"),
+        F.max("copies").alias("copies"),
+        F.min("kept").alias("kept"),
+    )
+    run = Window.partitionBy("doc", "run")
+    whole = F.max("end").over(run) - F.min("start").over(run)
+    return spans.withColumn("whole", whole).where(F.col("whole") >= least).select(
+        F.col("doc").alias("doc_id"), "start", "end", "n_chunks", "first_doc_id", "first_start", "copies", "kept"
+    )
+
+
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with every chunk that is not its first occurrence cut out of the texts.
 
