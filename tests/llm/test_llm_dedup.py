@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import cases
 from tillflow.llm import chunking, components, exact, hashing, jaccard
+from tillflow.llm.queries import QUERIES
 
 
 def expected_copies(data):
@@ -225,9 +226,10 @@ def test_every_repeated_byte_is_kept_once(spark):
     texts[9] = f"{cases.prose(9, 30)} {twice} {cases.prose(10, 30)} {twice} {whole[:400]}"
     docs = cases.frame(spark, [(i, t, "en", "a", 1, *["clash"] * len(cases.CLASHING)) for i, t in texts.items()])
     raw = {i: t.encode() for i, t in texts.items()}
-    again = {c: p for c, p in by_chunk(list(texts.items())).items() if len({d for d, _ in p}) > 1}
+    again = {c: p for c, p in by_chunk(list(texts.items())).items() if len(p) > 1}
+    found = chunking.repeats(docs)
     for least in (1, chunking.PASSAGE_BYTES):
-        spans = chunking.parts(docs, least).collect()
+        spans = chunking.parts(found, least).collect()
         covers = lambda d, a, b: [r for r in spans if r.doc_id == d and r.start <= a and b <= r.end]
         for r in spans:
             part = raw[r.doc_id][r.start : r.end]
@@ -236,11 +238,37 @@ def test_every_repeated_byte_is_kept_once(spark):
             assert not any(x for x in spans if not x.kept and x.doc_id == r.first_doc_id and x.start < r.first_start + len(part) and r.first_start < x.end)
         if least == 1:
             for chunk, places in again.items():
-                found = [x.kept for d, a in places for x in covers(d, a, a + len(chunk))]
-                assert len(found) == len(places) and found.count(True) == 1
+                kept = [x.kept for d, a in places for x in covers(d, a, a + len(chunk))]
+                assert len(kept) == len(places) and kept.count(True) == 1
         assert sum(r.end - r.start for r in spans if r.doc_id == 5 and r.kept) > 500
 
 
+def test_query_reports_all_repeats_and_what_stays(spark, tmp_path):
+    twice = cases.prose(77, 80)
+    texts = {1: f"{cases.prose(9, 30)} {twice} {cases.prose(10, 30)} {twice}", 2: cases.prose(2, 90), 3: "", 4: None}
+    texts |= {5: cases.prose(5, 120), 6: cases.prose(5, 120), None: cases.prose(11, 50)}
+    docs = cases.frame(spark, [(i, t, "en", "a", 1, *["clash"] * len(cases.CLASHING)) for i, t in texts.items()])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op3_gear_chunks"](spark, str(tmp_path)).collect()
+    inside = [r for r in rows if r.doc_id == 1]
+    assert {r.across for r in inside} == {False} and {r.kept for r in inside} == {True, False}
+    assert all(r.first_doc_id == 1 for r in inside) and sum(r.end - r.start for r in inside if not r.kept) > 250
+    assert {(r.across, r.kept, r.first_doc_id) for r in rows if r.doc_id == 6} == {(True, False, 5)}
+    assert all(r.start is None for r in rows if r.doc_id in (2, 3, 4, None))
+    gone = collections.defaultdict(list)
+    for chunk, places in by_chunk(list(texts.items())).items():
+        for d, a in places[1:]:
+            gone[d].append((a, a + len(chunk)))
+    want = set()
+    for i, text in texts.items():
+        raw, left, at = (text or "").encode(), b"", 0
+        for a, b in sorted(gone[i]):
+            left, at = left + raw[at:a], b
+        left += raw[at:]
+        want.add((i, *((len(raw), len(left), hashlib.sha256(left).hexdigest()) if text is not None else [None] * 3)))
+    assert {(r.doc_id, r.n_bytes, r.bytes_kept, r.digest_kept) for r in rows} == want
+
+
 def test_cuts_move_with_insertions():
     raw = cases.prose(8, 4000, "abcdefghijäö").encode()
     moved = raw[:5000] + b"inserted words " + raw[5000:]

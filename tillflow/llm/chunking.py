@@ -221,15 +221,14 @@ def passages(docs: DataFrame, least: int = PASSAGE_BYTES) -> DataFrame:
     )
 
 
-def parts(docs: DataFrame, least: int = PASSAGE_BYTES) -> DataFrame:
-    """Runs of neighbouring chunks that other documents hold too, of ``least`` bytes or more, cut into
+def parts(found: DataFrame, least: int = PASSAGE_BYTES) -> DataFrame:
+    """Runs of neighbouring chunks among the ``repeats()`` found, of ``least`` bytes or more, cut into
     parts that have their first occurrence in one piece. One row a part: ``doc_id, start, end`` (in
-    bytes), ``n_chunks, first_doc_id, first_start, copies, kept``.
+    bytes), ``n_chunks, first_doc_id, first_start, across, copies, kept``.
 
-    The bytes of a part are those of document ``first_doc_id`` from ``first_start`` on; ``kept`` tells
+    ``across`` tells whether several documents hold its chunks, or this one repeats them. The bytes of a part are those of document ``first_doc_id`` from ``first_start`` on; ``kept`` tells
     whether the part is that first occurrence, ``copies`` the most occurrences of one of its chunks.
     """
-    shared = repeats(docs).where("across")
     order = Window.partitionBy("doc").orderBy("start", "digest")
     last = lambda name: F.lag(name).over(order)
     begins = ~F.coalesce(last("start") + last("length") == F.col("start"), F.lit(False))
@@ -237,8 +236,9 @@ def parts(docs: DataFrame, least: int = PASSAGE_BYTES) -> DataFrame:
         last("first_doc").eqNullSafe(F.col("first_doc"))
         & (last("first_start") + last("length") == F.col("first_start"))
         & (last("kept") == F.col("kept"))
+        & (last("across") == F.col("across"))
     )
-    marked = shared.withColumns({"begins": begins.cast("int"), "opens": (begins | ~goes_on).cast("int")})
+    marked = found.withColumns({"begins": begins.cast("int"), "opens": (begins | ~goes_on).cast("int")})
     placed = marked.withColumns({"run": F.sum("begins").over(order), "part": F.sum("opens").over(order)})
     spans = placed.groupBy("doc", "run", "part").agg(
         F.min("start").alias("start"),
@@ -246,14 +246,38 @@ def parts(docs: DataFrame, least: int = PASSAGE_BYTES) -> DataFrame:
         F.count("*").cast("bigint").alias("n_chunks"),
         F.min("first_doc").alias("first_doc_id"),
         F.min("first_start").alias("first_start"),
+        F.min("across").alias("across"),
         F.max("copies").alias("copies"),
         F.min("kept").alias("kept"),
     )
     run = Window.partitionBy("doc", "run")
     whole = F.max("end").over(run) - F.min("start").over(run)
     return spans.withColumn("whole", whole).where(F.col("whole") >= least).select(
-        F.col("doc").alias("doc_id"), "start", "end", "n_chunks", "first_doc_id", "first_start", "copies", "kept"
+        F.col("doc").alias("doc_id"), "start", "end", "n_chunks", "first_doc_id", "first_start", "across", "copies", "kept"
+    )
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The ``parts()`` of all repeats, and what ``without_repeats()`` leaves of every document:
+    ``n_bytes`` of the text, ``bytes_kept`` and the SHA-256 ``digest_kept`` of what stays (NULL for a
+    NULL text).
+
+    One row a part; a document without parts has one row, with NULL in their columns. All repeated
+    chunks are cut, also those in runs too short for a part. Ids must be unique; texts without an id
+    are left whole.
+    """
+    found = repeats(docs)
+    sized = docs.select("doc_id", "text", F.octet_length("text").cast("bigint").alias("n_bytes"))
+    left = cut_out(sized, found, "doc_id", "text").select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("text").cast("bigint").alias("bytes_kept"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("digest_kept"),
     )
+    left = stored(left, "left")
+    spans = parts(found).withColumnRenamed("doc_id", "of")
+    joined = left.join(spans, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    return joined.select("doc_id", *spans.columns[1:], "n_bytes", "bytes_kept", "digest_kept")
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -261,8 +285,13 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Ids must be unique. Rows without repeats pass a bitmap and are not shuffled.
     """
-    found = repeats(docs, id_column, text_column).where("NOT kept AND doc IS NOT NULL")
-    spans = found.groupBy(F.col("doc").alias("of")).agg(
+    return cut_out(docs, repeats(docs, id_column, text_column), id_column, text_column)
+
+
+def cut_out(docs: DataFrame, found: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``docs`` without the chunks of their ``repeats()`` that are not kept."""
+    again = found.where("NOT kept AND doc IS NOT NULL")
+    spans = again.groupBy(F.col("doc").alias("of")).agg(
         F.sort_array(F.collect_list(F.struct("start", "length"))).alias("spans")
     )
     spans = stored(spans, "spans")

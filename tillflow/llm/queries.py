@@ -40,7 +40,7 @@ def op2_warc_chunks(spark, folder):
 
 @query
 def op3_gear_chunks(spark, folder):
-    return chunking.parts(table(spark, folder, "documents"))
+    return chunking.deduplicated(table(spark, folder, "documents"))
 
 
 @query
