@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = compare.connect(FOLDER)
-    for name in ("documents", "pages", "labels"):
+    for name in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     yield con
     con.close()
@@ -24,7 +24,7 @@ def test_same_rows(spark, duck, name):
 
 
 def test_native_operators_use_no_python(spark):
-    for name in ("op6_robust_outliers", "op10_exact_dedup"):
+    for name in ("op6_robust_outliers", "op10_exact_dedup", "op12_license_scan"):
         plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert word not in plan

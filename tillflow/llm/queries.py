@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import bitplane, chunking, exact, jaccard, langid, mixing, outliers, packing, resampling, warc
+from tillflow.llm import (
+    bitplane,
+    chunking,
+    exact,
+    jaccard,
+    langid,
+    licenses,
+    mixing,
+    outliers,
+    packing,
+    resampling,
+    vafile,
+    warc,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,3 +91,18 @@ def op9_kneser_ney(spark, folder):
 @query
 def op10_exact_dedup(spark, folder):
     return exact.find_copies(table(spark, folder, "documents"))
+
+
+@query
+def op11_chebyshev_whitening(spark, folder):
+    return whitening.whitened_components(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_license_scan(spark, folder):
+    return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
+@query
+def op13_va_file(spark, folder):
+    return vafile.clustered(table(spark, folder, "embeddings"))
