@@ -130,7 +130,14 @@ def test_layers_from_csv(spark, folder):
         ("1", "M2", None),
     ]
     log = {r.table: r for r in lake.history().collect()}
-    assert log["bronze.sales"].violations == {"has_items": 3}
+    assert log["bronze.sales"].violations == {"has_items": 3, "values_fit": 1}
+    assert log["bronze.events"].violations == {"values_fit": 1}
+    assert log["bronze.users"].violations == {"values_fit": 0}
+    lost = lake.read("quarantine.lost_values").select("source", "column", "raw", "reason").collect()
+    assert sorted(map(tuple, lost)) == [
+        ("events", "event_timestamp", "soon", "not an epoch time"),
+        ("sales", "items", "not json", "malformed JSON"),
+    ]
     assert log["silver.events"].violations == {"valid_user": 1, "non_null_ts": 1}
     assert log["silver.sales_enriched"].violations == {"valid_order": 2}
     assert log["silver.events"].rows == 2

@@ -1,0 +1,135 @@
+"""Multi-line CSV in parallel against Spark's own reader, and the quarantine of lost values."""
+
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillflow import schemas
+from tillflow.sources import feeds, records
+
+
+def field(rng: random.Random) -> str:
+    """Plain fields, stray quotes, quoted fields with anything inside, some long, some with text after."""
+    kind = rng.random()
+    if kind < 0.4:
+        return "".join(rng.choices("abcä 12", k=rng.randint(0, 8)))
+    if kind < 0.55:
+        return rng.choice(['a"b', '5"', 'x""'])
+    inside = rng.choices(["a", ",", "\n", '""', "x y", "{", ":"], k=rng.randint(0, 3000 if rng.random() < 0.03 else 12))
+    return f'"{"".join(inside)}"' + rng.choice(["", "", "", "z"])
+
+
+@pytest.fixture
+def small_splits(spark):
+    before = {k: spark.conf.get(k) for k in (feeds.SPLIT_BYTES, "spark.sql.files.openCostInBytes")}
+    spark.conf.set(feeds.SPLIT_BYTES, "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_large_file_like_one_task(spark, tmp_path, small_splits, end):
+    rng = random.Random(len(end))
+    path = tmp_path / "many.csv"
+    with path.open("w", newline="") as out:
+        out.write(f"a,b,c{end}")
+        for _ in range(1200):
+            out.write(",".join(field(rng) for _ in range(3)) + end + (end if rng.random() < 0.05 else ""))
+    path = str(path)
+    options = {"header": True, "enforceSchema": False, "multiLine": True, "escape": '"', "nullValue": "null"}
+    want = spark.read.options(**options).schema("a string, b string, c string").csv(path)
+    assert want.rdd.getNumPartitions() == 1 and feeds.splittable(spark, path)
+    got = feeds.read_csv(spark, path, "a string, b string, c string")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    lines = records.lines_of(spark, path)
+    assert lines.select("_block").distinct().count() > 20
+    assert lines.select(F.spark_partition_id().alias("task")).distinct().count() > 8
+
+
+def test_record_over_many_splits_and_several_files(spark, tmp_path, small_splits):
+    """A field longer than three splits, in one of two files; the other ends without a line break."""
+    long = "line\n" * 3000
+    (tmp_path / "one.csv").write_text(f'a,b\n1,"{long}"\n2,x\n')
+    (tmp_path / "two.csv").write_text('a,b\n3,"y\nz"')
+    got = records.parsed(spark, str(tmp_path), ["a", "b"]).collect()
+    assert sorted(map(tuple, got)) == [("1", long), ("2", "x"), ("3", "y\nz")]
+
+
+def test_open_quote_at_the_end(spark, tmp_path, small_splits):
+    (tmp_path / "open.csv").write_text('a,b\n1,x\n2,"never\nclosed\n')
+    want = spark.read.options(header=True, multiLine=True, escape='"').csv(str(tmp_path)).collect()
+    got = records.parsed(spark, str(tmp_path), ["a", "b"]).collect()
+    assert [r.a for r in sorted(got)] == [r.a for r in sorted(want)] == ["1", "2"]
+
+
+def test_other_header_is_an_error(spark, tmp_path, small_splits):
+    (tmp_path / "one.csv").write_text("a,b\n" + "1,2\n" * 3000)
+    (tmp_path / "two.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        feeds.read_csv(spark, str(tmp_path), "a string, b string").count()
+
+
+def test_empty_files(spark, tmp_path, small_splits):
+    (tmp_path / "none.csv").write_text("a,b\n")
+    (tmp_path / "nothing.csv").write_text("")
+    assert records.parsed(spark, str(tmp_path), ["a", "b"]).count() == 0
+
+
+BAD_ITEMS = json.dumps(
+    [
+        {"coupon": None, "item_id": "M1", "quantity": 1, "price_in_usd": "cheap"},
+        {"coupon": "c", "item_id": 5, "quantity": 2.5, "price_in_usd": 1},
+    ]
+).replace('"', '""')
+
+
+def delivered(folder, rows_after: int = 0) -> None:
+    lines = [
+        "order_id,email,transaction_timestamp,purchase_revenue_in_usd,total_item_quantity,items",
+        '1,a@x,1593878946592107,11.5,4,"[]"',
+        f'2,"b\n@x",soon,much,4.5,"{BAD_ITEMS}"',
+        '3,c@x,null,null,null,"[{""item_id"": ""M1"""',
+        "4,d@x,1593878946592107",
+        '5,e@x,1593878946592107,1.0,1,"[]",extra',
+        "6,f@x,,,,null",
+    ]
+    lines += [f'{k},"g\n@x",1593878946592107,1.0,1,"[]"' for k in range(100, 100 + rows_after)]
+    (folder / "sales.csv").write_text("\n".join(lines) + "\n")
+
+
+LOST = [
+    ("(record)", "another number of fields than the header"),
+    ("(record)", "another number of fields than the header"),
+    ("items", "malformed JSON"),
+    ("items[0].price_in_usd", "not a double"),
+    ("items[1].quantity", "not a bigint"),
+    ("purchase_revenue_in_usd", "not a double"),
+    ("total_item_quantity", "not a bigint"),
+    ("transaction_timestamp", "not an epoch time"),
+]
+
+
+@pytest.mark.parametrize("rows", [0, 2000])
+def test_every_lost_value_is_listed(spark, tmp_path, small_splits, rows):
+    """The same from a small file in one task and from a large one in many."""
+    delivered(tmp_path, rows)
+    lost = feeds.quarantined(spark, str(tmp_path), "sales").collect()
+    assert sorted((r.column, r.reason) for r in lost) == LOST
+    raw = {r.column: r.raw for r in lost}
+    assert (raw["items[0].price_in_usd"], raw["items[1].quantity"]) == ("cheap", "2.5")
+    assert (raw["purchase_revenue_in_usd"], raw["transaction_timestamp"]) == ("much", "soon")
+    whole = next(json.loads(r.record) for r in lost if r.column == "items")
+    assert (whole["order_id"], whole["items"]) == ("3", '[{"item_id": "M1"')
+    rows_ = {r.order_id: r for r in feeds.checked(spark, str(tmp_path), "sales").collect()}
+    assert len(rows_) == 6 + rows
+    assert {k for k, r in rows_.items() if r["_lost"]} == {"2", "3", "4", "5"}
+    assert rows_["2"].email == "b\n@x" and rows_["2"].purchase_revenue_in_usd is None
+    typed = feeds.bronze(spark, str(tmp_path), "sales")
+    assert typed.columns == [n for n in feeds.checked(spark, str(tmp_path), "sales").columns if n != "_lost"]
+    assert dict(typed.dtypes)["items"] == schemas.ITEMS

