@@ -305,3 +305,31 @@ def test_empty_groups(spark):
 def test_nan_is_refused(spark):
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
         spark.createDataFrame([(float("nan"),)], "x double").agg(sum_of("x")).collect()
+
+
+def test_amounts_with_more_places_are_not_cut(spark):
+    from tillflow.functions import mean_of, sum_of
+
+    tiny = spark.range(1_000_000).select(F.lit(4e-7).alias("v"))
+    assert tiny.select(sum_of("v", 4).alias("s")).first().s == 0.4
+    mixed = spark.createDataFrame([(1e9 + 0.25,), (0.1234567,), (-3e-7,), (None,)], "v double")
+    got = mixed.select(sum_of("v", 6).alias("s"), mean_of("v", 3).alias("m")).first()
+    assert got.s == pytest.approx(1e9 + 0.3734564, abs=1e-6) and got.m == pytest.approx(333333333.458, abs=1e-3)
+    cents = spark.range(1000).select((F.col("id") * 0.01 + 1e7).alias("v"))
+    assert cents.select(sum_of("v").alias("s")).first().s == 10_000_004_995.0
+
+
+def test_pieces_grow_with_the_rows(spark, monkeypatch):
+    from tillflow.operators import ordered
+
+    monkeypatch.setattr(ordered, "ROWS_PER_PIECE", 500)
+    df = spark.range(20_000).select(F.lit("hot").alias("k"), "id", F.lit(1).alias("v"))
+    assert ordered.piece_count(df) == 40
+    cut = ordered.into_pieces(df, ["k"], ["id"])
+    sizes = [r["count"] for r in cut.groupBy("_piece").count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 1500
+    got = ordered.running_sum(df, ["k"], ["id"], "v", into="s")
+    assert got.where("s <> id + 1").count() == 0
+    monkeypatch.setattr(ordered, "MOST_BROADCAST", 10)
+    before = ordered.previous_value(df, ["k"], ["id"], "id", into="p")
+    assert before.where("p <> id - 1").count() == 0 and before.where("p IS NULL").count() == 1

@@ -3,9 +3,10 @@
 A distributed sum of doubles changes in its last bits with the partitioning, so a total that lies on
 half a cent may round either way. Amounts that are declared to have a fixed number of places (cents,
 or the sixth place for computed ones) are therefore added exactly, as two long sums: whole units and
-the rest in units of the last place. That is as cheap as a sum of doubles and stays inside generated
-code; decimals appear only after the aggregation. ``off_scale`` counts amounts that break the
-declaration. ``total_of`` makes no such assumption: it is the plain sum of the doubles.
+the rest in units of the last place. That stays inside generated code; decimals appear only after the
+aggregation. What amounts have beyond these places, but for the error of a double, is added as a plain
+sum of doubles and joins the result, so nothing is cut off; it is exactly 0 where the declaration holds.
+``off_scale`` counts the amounts that break it. ``total_of`` is the plain sum of the doubles.
 """
 
 from __future__ import annotations
@@ -26,12 +27,18 @@ def _value(amount: Column | str) -> Column:
 def exact_sum(amount: Column | str, places: int = PLACES) -> Column:
     """Sum, as a decimal, of amounts declared to have at most ``places`` places.
 
-    Amounts beyond a long, or NaN, raise an error.
+    Amounts with more places are added too, beyond these places as doubles. Amounts beyond a long, or
+    NaN, raise an error.
     """
     value = _value(amount)
     units = value.cast("bigint")
-    rest = F.rint((value - units) * 10**places).cast("bigint")
-    return F.sum(units).cast(WHOLE) + F.sum(rest).cast(WHOLE) * F.lit(Decimal(1).scaleb(-places))
+    scaled = (value - units) * 10**places
+    last = F.rint(scaled)
+    # A double is that far from the amount it stands for; more is a real part of the amount.
+    noise = F.greatest(F.lit(1e-9), F.abs(value) * (10**places * 2.0**-51))
+    beyond = F.when(F.abs(scaled - last) > noise, scaled - last).otherwise(0.0)
+    exact = F.sum(units).cast(WHOLE) + F.sum(last.cast("bigint")).cast(WHOLE) * F.lit(Decimal(1).scaleb(-places))
+    return exact + (F.sum(beyond) / 10**places).cast(f"decimal(20,{places})")
 
 
 def off_scale(amount: Column | str, places: int = PLACES) -> Column:

@@ -60,6 +60,29 @@ def cluster_by(
     return sliced.sortWithinPartitions(*key).select(*df.columns)
 
 
+def file_ranges(stored_rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``file, rows`` and per column ``min_c, max_c, nulls_c``: one row per file of a stored table."""
+    ends = []
+    for c in columns:
+        ends += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{c}")]
+    return stored_rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"), *ends)
+
+
+def files_touched(ranges: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """For each value of ``wanted`` (one column): how many files may hold it, of how many, and their rows.
+
+    A file may hold a value that lies between its smallest and largest one, which is what a reader that
+    skips by file statistics has to open. The values are met with the ranges by a join on both ends.
+    """
+    (value,) = wanted.columns
+    total = ranges.agg(F.count("*").alias("n")).scalar()
+    inside = F.col(value).between(F.col(f"min_{column}"), F.col(f"max_{column}"))
+    met = wanted.distinct().join(ranges, inside, "left")
+    return met.groupBy(value).agg(
+        F.count("file").alias("touched"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")
+    ).withColumn("files", total)
+
+
 def interleave(ranks: list[Column], bits: int) -> Column:
     """Mix the bits of several ranks into one long: the position on the Z-curve."""
     curve = F.lit(0).cast("bigint")

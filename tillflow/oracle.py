@@ -352,6 +352,34 @@ _QUERIES = {
                {mean("purchase_revenue_in_usd")} AS avg_rev_per_event,
                round(stddev_samp(purchase_revenue_in_usd), 2) AS stddev_rev
         FROM v_events GROUP BY event_name""",
+    # The chance is the area of the beta density up to d2 / (d2 + d1 * f), by Simpson's rule over the
+    # square root of the place (which takes away the pole of the density at 0 or 1 degrees of freedom).
+    "nb_event_significance": """
+        SELECT * FROM (WITH known AS (
+            SELECT traffic_source, purchase_revenue_in_usd AS v FROM v_events WHERE purchase_revenue_in_usd IS NOT NULL
+        ), kinds AS (
+            SELECT traffic_source, count(*) AS n, avg(v) AS m, var_pop(v) * count(*) AS s FROM known GROUP BY traffic_source
+        ), parts AS (
+            SELECT (SELECT count(*) FROM kinds) AS kinds, (SELECT count(*) FROM known) AS events,
+                (SELECT sum(n * (m - (SELECT avg(v) FROM known)) ** 2) FROM kinds) AS b,
+                (SELECT sum(s) FROM kinds) AS w
+        ), tested AS (
+            SELECT *, (b / (kinds - 1)) / (w / (events - kinds)) AS f, (events - kinds) / 2.0 AS p1,
+                (kinds - 1) / 2.0 AS p2
+            FROM parts
+        ), points AS (
+            SELECT t.*, i, CASE WHEN i = 0 OR i = 20000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS weight,
+                sqrt((kinds - 1) * f / ((events - kinds) + (kinds - 1) * f)) AS lowest
+            FROM tested t, range(20001) r(i)
+        ), area AS (
+            -- t = 1 - u * u from u = lowest to 1: 2 * (1 - u * u)^(p1 - 1) * u^(2 * p2 - 1)
+            SELECT sum(weight * 2 * pow(greatest(1 - pow(lowest + (1 - lowest) * i / 20000.0, 2), 1e-300), p1 - 1)
+                * pow(lowest + (1 - lowest) * i / 20000.0, 2 * p2 - 1)
+                * exp(lgamma(p1 + p2) - lgamma(p1) - lgamma(p2))) * any_value(1 - lowest) / 60000.0 AS p
+            FROM points
+        )
+        SELECT kinds, events, round(f, 6) AS f, round(p, 6) AS p, round(b / (b + w), 6) AS explained
+        FROM tested, area)""",
     "nb_purchase_frequency": f"""
         SELECT email, count(DISTINCT order_id) AS purchases,
                count(DISTINCT CAST(transaction_timestamp AS DATE)) AS active_days,
@@ -390,6 +418,26 @@ _QUERIES = {
                     ELSE '15d+' END AS recency_bucket,
                count(*) AS users, {mean("revenue")} AS avg_revenue
         FROM v_recency GROUP BY 1""",
+    "bronze_products_in_parallel": """
+        SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_name AS name, p_retailprice AS price FROM part""",
+    "quarantined_values": """
+        SELECT 'products' AS source, 'price' AS "column", 'n/a' AS raw, 'not a double' AS reason,
+               CAST(p_partkey AS VARCHAR) AS key
+        FROM part WHERE p_partkey % 10 = 3
+        UNION ALL
+        SELECT 'sales', 'items', '[{"item_id"', 'malformed JSON', order_id FROM v_sales
+        WHERE split_part(order_id, '-', 2) = '6'
+        UNION ALL
+        SELECT 'sales', 'items[0].quantity', 'many', 'not a bigint', order_id FROM v_sales
+        WHERE split_part(order_id, '-', 2) = '7'
+        UNION ALL
+        SELECT 'sales', 'transaction_timestamp', 'yesterday', 'not an epoch time', order_id FROM v_sales
+        WHERE split_part(order_id, '-', 2) = '5'""",
+    "incremental_users": """
+        SELECT 1 AS run, count(*) FILTER (WHERE c_custkey % 2 = 1) AS taken,
+               count(*) FILTER (WHERE c_custkey % 2 = 1) AS stored FROM customer
+        UNION ALL SELECT 2, count(*) FILTER (WHERE c_custkey % 2 = 0), count(*) FROM customer
+        UNION ALL SELECT 3, 0, count(*) FROM customer""",
     "raw_tables": """
         SELECT 'users' AS "table", count(*) AS rows, CAST(0 AS BIGINT) AS null_texts FROM customer
         UNION ALL SELECT 'products', count(*), 0 FROM part

@@ -10,6 +10,7 @@ from tillflow.functions import (
     exact_sum,
     item_rows,
     mean_of,
+    moments,
     month_of,
     quotient,
     ratio,
@@ -251,35 +252,32 @@ def product_stats(sales: DataFrame) -> DataFrame:
 def product_correlation(sales: DataFrame) -> DataFrame:
     """Correlation of quantity and revenue over products and over single lines.
 
-    A pair with a NULL is left out. The sums for single lines are carried through the aggregate by
-    product, so the lines are read once.
+    A pair with a NULL is left out. One scan gives the sums per product and, from centred moments that
+    Spark merges task by task, the figures over all lines.
     """
-    x, y = F.col("quantity").cast("double"), F.col("item_revenue_in_usd")
-    both = x.isNotNull() & y.isNotNull()
-    sums = {"_n": F.count_if(both)} | {
-        name: F.sum(F.when(both, value))
-        for name, value in {"_x": x, "_y": y, "_xx": x * x, "_yy": y * y, "_xy": x * y}.items()
-    }
-    per_item = each_item(sales, ["item_id", "quantity", "item_revenue_in_usd"]).groupBy("item_id").agg(
+    x, y = F.col("quantity"), F.col("item_revenue_in_usd")
+    lines = each_item(sales, ["item_id", "quantity", "item_revenue_in_usd"])
+    grains = lines.groupingSets([["item_id"], []], "item_id").agg(
+        F.grouping_id().alias("_grain"),
         F.sum("quantity").alias("qty"),
         sum_of("item_revenue_in_usd").alias("rev"),
         F.count("*").alias("_lines"),
-        *[value.alias(name) for name, value in sums.items()],
+        *[value.alias(name) for name, value in moments.moments(x, y).items()],
     )
-    n, sx, sy, sxx, syy, sxy = [F.sum(c) for c in ("_n", "_x", "_y", "_xx", "_yy", "_xy")]
-    spread = F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))
-    line_corr = F.try_divide(n * sxy - sx * sy, spread)
-    both_grains = per_item.agg(
-        F.count("*").alias("products"),
-        F.corr("qty", "rev").alias("product_corr"),
-        F.coalesce(F.sum("_lines"), F.lit(0)).alias("lines"),
-        line_corr.alias("line_corr"),
+    product, line = F.col("_grain") == 0, F.col("_grain") == 1
+    over_lines = moments.correlation(*[F.col(k) for k in (moments.XX, moments.YY, moments.XY)])
+    over_products = moments.moments(F.when(product, F.col("qty")), F.when(product, F.col("rev")))
+    both_grains = grains.agg(
+        F.count_if(product).alias("products"),
+        moments.correlation(*[over_products[k] for k in (moments.XX, moments.YY, moments.XY)]).alias("product_corr"),
+        F.coalesce(F.max(F.when(line, F.col("_lines"))), F.lit(0)).alias("lines"),
+        F.max(F.when(line, over_lines)).alias("line_corr"),
     )
-    lines = [
+    rows = [
         F.struct(F.lit(g).alias("grain"), F.col(c).cast("bigint").alias("n"), F.col(r).alias("corr"))
         for g, c, r in (("product", "products", "product_corr"), ("line", "lines", "line_corr"))
     ]
-    return both_grains.select(F.inline(F.array(*lines)))
+    return both_grains.select(F.inline(F.array(*rows)))
 
 
 def lifetime_value(sales: DataFrame, buyer: str = "email") -> DataFrame:

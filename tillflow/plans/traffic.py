@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions import each_item, item_rows, mean_of, month_of, ratio, sum_of
+from tillflow.functions import each_item, item_rows, mean_of, moments, month_of, ratio, sum_of
 from tillflow.schemas import PURCHASE
 
 EVENT = ["user_id", "event_name", "traffic_source", "event_timestamp"]
@@ -74,6 +74,31 @@ def event_impact(events: DataFrame) -> DataFrame:
     )
 
 
+def event_significance(events: DataFrame, by: str = "event_name") -> DataFrame:
+    """Whether revenue differs between kinds of event: a one-way analysis of variance.
+
+    ``by`` names the column that tells the kinds apart; NULL is a kind.
+
+    Events without revenue figures are left out. ``f`` compares the spread between the kinds with that
+    inside them, ``p`` is the chance of such an ``f`` if all kinds were alike, and ``explained`` the
+    share of the whole spread that lies between them.
+    """
+    paid = F.col("ecommerce.purchase_revenue_in_usd")
+    per_kind = events.groupBy(by).agg(
+        *[value.alias(name) for name, value in moments.moments(paid).items()]
+    ).where(F.col(moments.N) > 0)
+    whole, between = moments.merged(per_kind)
+    parts = per_kind.agg(
+        F.count("*").alias("kinds"),
+        F.coalesce(whole[moments.N], F.lit(0)).alias("events"),
+        between[moments.XX].alias("_between"),
+        F.sum(moments.XX).alias("_within"),
+    )
+    ratio, chance = moments.f_test(F.col("_between"), F.col("_within"), F.col("kinds"), F.col("events"))
+    explained = F.try_divide(F.col("_between"), F.col("_between") + F.col("_within"))
+    return parts.select("kinds", "events", ratio.alias("f"), chance.alias("p"), explained.alias("explained"))
+
+
 def conversion_by_source(events: DataFrame, step: str = PURCHASE) -> DataFrame:
     """Distinct buyers over distinct visitors by traffic source.
 

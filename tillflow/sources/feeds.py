@@ -27,7 +27,7 @@ def _fields(schema: str) -> dict[str, str]:
     return {name.strip("`"): kind for name, kind in (f.split(None, 1) for f in schema.split(", "))}
 
 
-def _header(spark: SparkSession, path: str, schema: str, **options) -> dict[str, str]:
+def _header(spark: SparkSession, path: str | list[str], schema: str, **options) -> dict[str, str]:
     """The header's names in their order, each with its declared type, or text if it has none.
 
     A declared column that the header lacks is an error.
@@ -40,7 +40,7 @@ def _header(spark: SparkSession, path: str, schema: str, **options) -> dict[str,
     return {name: wanted.get(name.lower(), "string") for name in names}
 
 
-def splittable(spark: SparkSession, path: str) -> bool:
+def splittable(spark: SparkSession, path: str | list[str]) -> bool:
     """Whether a file of ``path`` is larger than a split; only the listing is read."""
     number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(SPLIT_BYTES).lower()).groups()
     most = int(number) << 10 * " kmgt".index(unit or " ")
@@ -50,7 +50,7 @@ def splittable(spark: SparkSession, path: str) -> bool:
 
 def read_text(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     names: list[str],
     null_text: str | None = NULL_TEXT,
     multi_line: bool = True,
@@ -174,9 +174,11 @@ def bronze(spark: SparkSession, folder: str, feed: str, multi_line: bool = True)
     return TYPED[feed](read_feed(spark, folder, feed, multi_line))
 
 
-def _texts(spark: SparkSession, folder: str, feed: str, multi_line: bool) -> tuple[DataFrame, list[str]]:
+def _texts(
+    spark: SparkSession, path: str | list[str], feed: str, multi_line: bool
+) -> tuple[DataFrame, list[str]]:
     """A feed's declared columns as text, with the text of records that don't fit the header."""
-    path, schema = f"{folder}/{feed}.csv", schemas.FEEDS[feed]
+    schema = schemas.FEEDS[feed]
     names = _header(spark, path, schema, multiLine=multi_line, escape='"')
     text = read_text(spark, path, list(names), multi_line=multi_line, corrupt=quarantine.CORRUPT)
     declared = list(_fields(schema))
@@ -188,15 +190,19 @@ def _lost(feed: str) -> Column:
     return quarantine.lost_values(scalars, NESTED.get(feed, {}), MOMENTS.get(feed, []), quarantine.CORRUPT)
 
 
-def checked(spark: SparkSession, folder: str, feed: str, multi_line: bool = True) -> DataFrame:
-    """A typed feed with, in ``_lost``, the values of each row that were lost."""
-    text, _ = _texts(spark, folder, feed, multi_line)
+def checked(
+    spark: SparkSession, folder: str, feed: str, multi_line: bool = True, files: list[str] | None = None
+) -> DataFrame:
+    """A typed feed, or some files of it, with the values of each row that were lost in ``_lost``."""
+    text, _ = _texts(spark, files or f"{folder}/{feed}.csv", feed, multi_line)
     found = text.withColumn(quarantine.LOST, _lost(feed)).drop(quarantine.CORRUPT)
     kinds = {n: F.col(n).try_cast(kind) for n, kind in _fields(schemas.FEEDS[feed]).items() if kind != "string"}
     return TYPED[feed](found.withColumns(kinds) if kinds else found)
 
 
-def quarantined(spark: SparkSession, folder: str, feed: str, multi_line: bool = True) -> DataFrame:
+def quarantined(
+    spark: SparkSession, folder: str, feed: str, multi_line: bool = True, files: list[str] | None = None
+) -> DataFrame:
     """``source, column, raw, reason, record``: one row per value that ``checked`` loses."""
-    text, names = _texts(spark, folder, feed, multi_line)
+    text, names = _texts(spark, files or f"{folder}/{feed}.csv", feed, multi_line)
     return quarantine.lost_rows(text, _lost(feed), names, feed)

@@ -35,7 +35,7 @@ def odd(count: Column) -> Column:
     return F.pmod(count, F.lit(2)) == 1
 
 
-def lines_of(spark: SparkSession, path: str) -> DataFrame:
+def lines_of(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``_line, _file, _block, _at`` with what each line does: ``_flip`` (0 or 1), ``_fixed`` (or NULL)."""
     lines = spark.read.text(path, lineSep="\n").select(
         F.col("value").alias("_line"),
@@ -92,7 +92,7 @@ def split_starts(lines: DataFrame) -> DataFrame:
     return owned.select(F.col("_file").alias("_f"), F.col("_block").alias("_b"), "_from", "_owner")
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
+def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``record, is_header`` of every record of the CSV files in ``path``, in no certain order."""
     lines = state_before(lines_of(spark, path), SPLIT, "_at")
     splits = split_starts(lines)
@@ -119,7 +119,9 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     return found.where("record <> ''")
 
 
-def parsed(spark: SparkSession, path: str, names: list[str], corrupt: str | None = None, **options: str) -> DataFrame:
+def parsed(
+    spark: SparkSession, path: str | list[str], names: list[str], corrupt: str | None = None, **options: str
+) -> DataFrame:
     """The fields of every record as text, by the header's ``names``; another header is an error.
 
     ``corrupt`` names a further column for the text of records that have too few or too many fields.
@@ -132,7 +134,7 @@ def parsed(spark: SparkSession, path: str, names: list[str], corrupt: str | None
     wanted = F.lit(",".join(names).lower())
     header = F.lower(F.concat_ws(",", *[fields[name] for name in names]))
     fine = F.when(header == wanted, False).otherwise(
-        F.raise_error(F.concat(F.lit(f"a file in {path} has another header: "), F.col("record"))).cast("boolean")
+        F.raise_error(F.concat(F.lit(f"a file has another header than {names}: "), F.col("record"))).cast("boolean")
     )
     rows = found.where(F.when(F.col("is_header"), fine).otherwise(True))
     if corrupt:
