@@ -10,9 +10,9 @@ all that occur once end; digests that are frequent within a batch go around the
 batch, and tell them so by one entry. Only repeated chunks become rows; their first occurrence comes
 from a partial aggregation and meets them in a join that Spark splits for frequent digests.
 
-Defined results: NULL and empty texts have no chunks. A NULL id comes before all others. Rows with the
-same id are one document, and what they have at the same place is one chunk. An
-empty table gives an empty result. Other columns play no part.
+Defined results: NULL and empty texts have no chunks. A NULL id comes before all others. For ``repeats`` and
+``passages`` rows with the same id are one document, and what they have at the same place is one chunk;
+where texts are cut, every row is a document of its own, in the order of ids and texts. An empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -257,14 +257,43 @@ def parts(found: DataFrame, least: int = PASSAGE_BYTES) -> DataFrame:
     )
 
 
+def told_apart(docs: DataFrame, id_column: str) -> bool:
+    """Whether every row has an id of its own; only the ids are read."""
+    ids = docs.select(F.col(id_column).alias("id"))
+    return ids.groupBy("id").count().where("id IS NULL OR count > 1").isEmpty()
+
+
+def numbered(docs: DataFrame, id_column: str, text_column: str, row: str) -> DataFrame:
+    """``docs`` with the number ``row`` in the order of ids (NULL first) and texts; stored."""
+    order = [F.col(id_column), F.xxhash64(text_column)]
+    placed = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(placed.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
+    """``whole_deduplicated()`` of documents whose ids may be missing or repeated: every row is a document
+    of its own then, in the order of ids and texts, and keeps its id in the result.
+    """
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    if told_apart(docs, "doc_id"):
+        return whole_deduplicated(docs)
+    rows = numbered(docs, "doc_id", "text", "row")
+    found = whole_deduplicated(rows.select(F.col("row").alias("doc_id"), "text"))
+    names = [rows.select(F.col("row").alias(f"row_{k}"), F.col("doc_id").alias(f"id_{k}")) for k in (1, 2)]
+    joined = found.join(names[0], F.col("doc_id") == F.col("row_1")).join(
+        names[1], F.col("first_doc_id") == F.col("row_2"), "left"
+    )
+    own = {"doc_id": F.col("id_1").alias("doc_id"), "first_doc_id": F.col("id_2").alias("first_doc_id")}
+    return joined.select(*[own.get(c, F.col(c)) for c in found.columns])
+
+
+def whole_deduplicated(docs: DataFrame) -> DataFrame:
     """The ``parts()`` of all repeats, and what ``without_repeats()`` leaves of every document:
     ``n_bytes`` of the text, ``bytes_kept`` and the SHA-256 ``digest_kept`` of what stays (NULL for a
     NULL text).
 
     One row a part; a document without parts has one row, with NULL in their columns. All repeated
-    chunks are cut, also those in runs too short for a part. Ids must be unique; texts without an id
-    are left whole.
+    chunks are cut, also those in runs too short for a part. Every row must have an id of its own.
     """
     found = repeats(docs)
     sized = docs.select("doc_id", "text", F.octet_length("text").cast("bigint").alias("n_bytes"))
@@ -283,9 +312,14 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with every chunk that is not its first occurrence cut out of the texts.
 
-    Ids must be unique. Rows without repeats pass a bitmap and are not shuffled.
+    Rows without repeats pass a bitmap and are not shuffled. If ids are missing or repeated, all rows are
+    stored once with a number that stands for the id.
     """
-    return cut_out(docs, repeats(docs, id_column, text_column), id_column, text_column)
+    if told_apart(docs, id_column):
+        return cut_out(docs, repeats(docs, id_column, text_column), id_column, text_column)
+    (row,) = fresh(docs, "_row")
+    rows = numbered(docs, id_column, text_column, row)
+    return cut_out(rows, repeats(rows, row, text_column), row, text_column).drop(row)
 
 
 def cut_out(docs: DataFrame, found: DataFrame, id_column: str, text_column: str) -> DataFrame:

@@ -35,8 +35,9 @@ def cut_is_safe(text: str) -> bool:
     )
 
 
-#: A word followed by one mark that the vocabularies always cut off.
-MARKED = re.compile("([A-Za-zÀ-ÖØ-öø-ÿĀ-ſ]+)([.,;:!?])")
+#: A word followed by one mark that the vocabularies always cut off. The letter U+0130 is not among its
+#: letters: in lower case it becomes two code points, of which the last joins the mark.
+MARKED = re.compile("([A-Za-zÀ-ÖØ-öø-ÿĀ-įı-ſ]+)([.,;:!?])")
 
 
 class Encoder:

@@ -1,7 +1,8 @@
 """Hashes of the words of many texts at once, as arrays.
 
-A word's hash is a polynomial of its bytes over the integers modulo 2**64, from running sums, so
-that no step handles a single word in Python.
+A word's hash is the sum, modulo 2**64, of its bytes' values, each times a random odd weight of its place
+in the word, from running sums, so that no step handles a single word in Python. (Powers of one number as
+weights would let regular words collide, whatever the number.)
 """
 
 from __future__ import annotations
@@ -15,9 +16,7 @@ _VALUES = _rng.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1
 _VALUES[65:91] = _VALUES[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BASE = np.uint64(0x9E37_79B9_7F4A_7C15)
-_INVERSE = np.uint64(pow(0x9E37_79B9_7F4A_7C15, -1, 1 << 64))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_weights = [np.ones(1, np.uint64)]
 #: Shingles weigh their words by these odd numbers.
 _WEIGHTS = _rng.integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 #: Bytes hashed together.
@@ -31,13 +30,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(count: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < count:
-        for place, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(count, base, np.uint64)
-            steps[0] = 1
-            _powers[place] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0][:count], _powers[1][:count]
+def _weight(count: int) -> np.ndarray:
+    """The weights of at least ``count`` places in a word."""
+    if len(_weights[0]) < count:
+        size = 1 << int(count - 1).bit_length()
+        _weights[0] = mix(np.arange(1, size + 1, dtype=np.uint64) * _WEIGHTS[-1]) | np.uint64(1)
+    return _weights[0]
 
 
 def _words_of(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,10 +50,14 @@ def _words_of(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndar
     after[-1], after[:-1] = True, space[1:]
     starts = np.flatnonzero(~space & (before | edge[:-1]))
     ends = np.flatnonzero(~space & (after | edge[1:])) + 1
-    powers, inverses = _power(n)
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
+    place = np.arange(n)
+    place -= np.repeat(np.append(0, starts), np.diff(np.concatenate([[0], starts, [n]])))
+    place[space] = 0
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUES[data] * powers, dtype=np.uint64, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverses[starts]), starts
+    np.cumsum(_VALUES[data] * _weight(int((ends - starts).max()))[place], dtype=np.uint64, out=sums[1:])
+    return mix(sums[ends] - sums[starts]), starts
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -92,9 +94,10 @@ def shingles(texts: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     words, owner = word_hashes(texts)
     counts = np.bincount(owner, minlength=len(texts))
     n = len(words)
-    total = np.zeros(max(n - size + 1, 0), np.uint64)
+    full = max(n - size + 1, 0)
+    total = np.zeros(full, np.uint64)
     for k in range(size):
-        total += words[k : n - size + 1 + k] * _WEIGHTS[k]
+        total += words[k : k + full] * _WEIGHTS[k]
     whole = owner[: len(total)] == owner[size - 1 :][: len(total)]
     hashes, owners = mix(total[whole]), owner[: len(total)][whole]
     first = np.cumsum(counts) - counts

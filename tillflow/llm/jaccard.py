@@ -17,7 +17,8 @@ shingles) is counted first over all documents. So passages that many documents s
 
 Only components are asked for, so a list of candidates need not become all its pairs. Equal sets are
 one node from the start. In rounds, every node is compared with one pivot of its lists, and lists
-that lie within one component are done. At the end, in lists that still span several, each node is
+that lie within one component are done. Rounds go on as long as they link at least one in ``WORTH`` of the
+nodes that are left. At the end, in lists that still span several, each node is
 met by all nodes outside its component; pairs whose sketches of ``SKETCH`` parity bits differ in more
 than H places are passed over, since each bit that differs is a shingle that differs, and the closest
 pairs are compared first, until all that are left lie within components.
@@ -57,15 +58,16 @@ DELETABLE = 32
 FREQUENT = 1 << 18
 #: Texts and bytes that are worked on together, and segment hashes of a bucket.
 BATCH_ROWS, BATCH_BYTES = 4096, 2 << 20
-BUCKET = 1 << 19
+BUCKET = 1 << 18
 #: Bytes of a segment hash that travel, besides the first bits, which its bucket tells. A bucket has
-#: some 2**19 hashes at any size of the input, so few of them agree by chance.
+#: some 2**18 hashes at any size of the input, so few of them agree by chance.
 HASH_BYTES = 4
 #: Bits of a set's parity sketch.
 SKETCH = 2048
 #: Entries of a segment hash in one batch from which on it goes around the buckets.
 COMMON = 6
-ROUNDS = 2
+#: Rounds of pivots go on while they link one in so many of the nodes left, two at least.
+ROUNDS, WORTH = 2, 50
 INDEX, PROBE, COMMON_FLAG = 1, 2, 4
 U64 = np.uint64
 
@@ -548,7 +550,9 @@ def clustered(lists: DataFrame, texts: DataFrame) -> DataFrame:
     sets = TokenSets(texts)
     links = spark.createDataFrame([], "a bigint, b bigint")
     tested = links
-    for _ in range(ROUNDS):
+    done, more = 0, True
+    while done < ROUNDS or more:
+        done += 1
         pivots = lists.groupBy(F.col("hash").alias("same")).agg(F.min(F.struct("label", "doc")).alias("pivot"))
         met = lists.join(stored(pivots, "pivots"), F.col("hash") == F.col("same"))
         met = met.where(F.col("label") != F.col("pivot.label"))
@@ -557,7 +561,9 @@ def clustered(lists: DataFrame, texts: DataFrame) -> DataFrame:
         best = votes.groupBy("a").agg(F.max(F.struct("votes", (-F.col("b")).alias("less"))).alias("best"))
         chosen = stored(best.select("a", (-F.col("best.less")).alias("b")), "chosen")
         tested = tested.unionByName(chosen)
-        links = stored(links.unionByName(similar(near(chosen, drawn).select("a", "b"), sets)), "linked")
+        found = similar(near(chosen, drawn).select("a", "b"), sets)
+        more = found.count() * WORTH >= chosen.count() > 0
+        links = stored(links.unionByName(found), "linked")
         labels = stored(labelled(links), "labels")
         lists = spanning(relabelled(lists, labels, "doc", "label"))
         if lists.isEmpty():
@@ -604,9 +610,11 @@ def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     total = rows.agg(F.sum("n")).first()[0] or 0
     common = frequent(info, total)
     lists = repeated(texts, common, total)
-    if lists.where("lacking > 0").count():
-        # Some set has too few filled segments: once more with eight times as many.
-        wide = repeated(texts, common, total, 8)
+    wide, wider = lists, 1
+    while wide.where("lacking > 0").count():
+        # Some set has too few filled segments: again with eight times as many, until none has.
+        wider *= 8
+        wide = repeated(texts, common, total, wider)
         lists = lists.unionByName(wide)
     labels = stored(clustered(lists, texts), "labels")
     classes = rows.where("n > 0").groupBy("high", "low").agg(F.min("doc").alias("least"))

@@ -165,14 +165,13 @@ class Records:
                 self.plain += made
                 return True
 
-    def _upto(self, mark: bytes, limit: int = 1 << 20) -> bytes | None:
+    def _upto(self, mark: bytes) -> bytes | None:
         at = self.plain.find(mark)
         while at < 0:
-            if len(self.plain) > limit:
-                raise ValueError("a header block is too long")
+            seen = max(0, len(self.plain) - len(mark) + 1)
             if not self._more():
                 return None
-            at = self.plain.find(mark)
+            at = self.plain.find(mark, seen)
         found = bytes(self.plain[:at])
         del self.plain[: at + len(mark)]
         return found
