@@ -11,6 +11,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -43,6 +44,14 @@ def test_words_encode_like_whole_texts(path, monkeypatch):
     for text in texts:
         want = plain.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(fast.encode(text), "<u2").tolist() == want, text[:60]
+    for size in (1, 100, 16 << 20):  # the same as columns, in slices of all kinds
+        monkeypatch.setattr(encoding, "SLICE", size)
+        column = pa.array([None, *texts, "", None], pa.string()).slice(1)
+        together = list(fast.encode_all(column))
+        assert len(together) == len(texts) + 2 and not len(together[-1]) and not len(together[-2])
+        for text, ids in zip(texts, together):
+            assert ids.astype("<u2").tobytes() == fast.encode(text), text[:60]
+    assert list(fast.encode_all(pa.array([], pa.string()))) == []
 
 
 # --- plane files ------------------------------------------------------------------------
@@ -107,6 +116,18 @@ def test_documents_through_plane_files(spark):
     assert bitplane.round_trip(spark, cases.frame(spark, []), BYTE).count() == 0
 
 
+def test_a_task_rolls_its_files(spark):
+    docs = spark.createDataFrame([(i, "some words " * (i % 7)) for i in range(200)], "doc_id long, text string")
+    folder = new_folder(spark, "planes")
+    manifest = bitplane.write_files(docs.coalesce(1), BYTE, folder, file_ids=100)
+    rows = manifest.collect()
+    assert len(rows) > 10 and all(r.n_ids < 200 for r in rows)
+    columns = ["doc_id", "start", "n_tokens", "ids_crc32"]
+    got = bitplane.read_files(manifest).select(columns).orderBy("start").collect()
+    assert got == bitplane.round_trip(spark, docs, BYTE).select(columns).orderBy("start").collect()
+    assert [r.doc_id for r in got] == list(range(200))
+
+
 # --- packing -----------------------------------------------------------------------------
 
 

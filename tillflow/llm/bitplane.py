@@ -11,8 +11,8 @@ place, number of ids and plane lengths; and for each document its id and its fir
 A reader can fetch one block, or one plane of it, by its place.
 
 Scale: documents are sorted by range partitions, and each task streams its range through one block
-at a time into a file of its own, named by attempt; a manifest lists the files that count, so
-repeated tasks do no harm. Where a document starts among all follows from one row per file.
+at a time into files of its own of bounded size, named by attempt; a manifest lists the files that
+count, so repeated tasks do no harm. Where a document starts among all follows from one row per file.
 
 Defined results: NULL text is empty and holds only the end id. NULL ids come first. Rows with
 the same id are ordered by the hash of their text. An empty table gives no file and an empty result.
@@ -38,6 +38,8 @@ from tillflow.llm.encoding import encoder
 MAGIC = b"TFPLANE1"
 BLOCK = 1 << 16
 END_ID = 0
+#: A file ends with the document that reaches one of these, so an index and its rows stay small.
+FILE_IDS, FILE_DOCS = 1 << 27, 1 << 19
 MANIFEST = "path string, n_docs bigint, n_ids bigint, n_bytes bigint, first_id bigint, first_hash bigint"
 DOCUMENTS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -157,31 +159,47 @@ class PlaneReader:
             yield doc_id, start, end - start, crc
 
 
-def write_files(docs: DataFrame, tokenizer: str, folder: str, kind: str = "bit", block: int = BLOCK) -> DataFrame:
-    """Encode ``doc_id, text`` into plane files in ``folder``; the manifest, one row per file, stored."""
+def write_files(
+    docs: DataFrame,
+    tokenizer: str,
+    folder: str,
+    kind: str = "bit",
+    block: int = BLOCK,
+    file_ids: int = FILE_IDS,
+) -> DataFrame:
+    """Encode ``doc_id, text`` into plane files in ``folder``; the manifest, one row per file, stored.
+
+    A task goes on in a new file after the document with which a file reaches ``file_ids`` ids.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer, 2).encode, np.array([END_ID], np.uint32)
-        writer = None
+        encode_all = encoder(tokenizer, 2).encode_all
+        writer, number = None, 0
+
+        def closed() -> pa.RecordBatch:
+            size = writer.close()
+            out.close()
+            row = [f"{folder}/{name}", len(writer.docs), writer.n_ids, size, *first]
+            names = ["path", "n_docs", "n_ids", "n_bytes", "first_id", "first_hash"]
+            types = [pa.string(), *[pa.int64()] * 5]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
+
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for doc_id, mark, text in zip(ids, batch.column(1).to_pylist(), batch.column(2)):
+            ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for doc_id, mark, tokens in zip(ids, marks, encode_all(batch.column(2))):
                 if writer is None:
                     fs, root = filesystem(folder)
                     fs.create_dir(root, recursive=True)
                     part = TaskContext.get().partitionId()
-                    name = f"part-{part:06d}-{uuid.uuid4().hex[:12]}.planes"
+                    name = f"part-{part:06d}-{number:06d}-{uuid.uuid4().hex[:12]}.planes"
                     out = fs.open_output_stream(f"{root}/{name}")
                     writer, first = PlaneWriter(out, kind, block), (doc_id, mark)
-                tokens = np.frombuffer(encode(text.as_py() or ""), "<u2").astype(np.uint32)
-                writer.add(doc_id, np.concatenate([tokens, end]))
+                writer.add(doc_id, np.append(tokens.astype(np.uint32), np.uint32(END_ID)))
+                if writer.n_ids >= file_ids or len(writer.docs) >= FILE_DOCS:
+                    yield closed()
+                    writer, number = None, number + 1
         if writer is not None:
-            size = writer.close()
-            out.close()
-            row = [f"{folder}/{name}", len(writer.docs), writer.n_ids, size, *first]
-            names = ["path", "n_docs", "n_ids", "n_bytes", "first_id", "first_hash"]
-            types = [pa.string(), *[pa.int64()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
+            yield closed()
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("mark"), "text")
     placed = rows.repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark")

@@ -4,18 +4,29 @@ Both vocabularies cut a text into words before merging, and never across a blank
 visible characters. So a text is cut there first, and each distinct word is given to the library
 once per worker; its ids are kept as bytes. Texts in which that cut is not safe (two blanks in a
 row, control characters, unusual blanks) go to the library whole.
+
+A column of texts is cut and its words are numbered by Arrow, so Python handles each distinct word of
+a slice once; the ids of the texts are then gathered by numpy.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words kept per worker; the older half is forgotten first.
 CACHE = 500_000
+#: Characters of a slice of texts whose words are numbered together (a longer text is a slice alone).
+SLICE = 16 << 20
+#: Where texts are cut. Texts that hold it go to the library whole.
+CUT = "\0"
 #: Control characters, blanks other than the usual one and the line end, and signs of no width.
 ODD = re.compile(
     "[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]"
@@ -37,6 +48,7 @@ def cut_is_safe(text: str) -> bool:
 
 #: A word followed by one mark that the vocabularies always cut off. The letter U+0130 is not among its
 #: letters: in lower case it becomes two code points, of which the last joins the mark.
+MARKS = tuple(".,;:!?")
 MARKED = re.compile("([A-Za-zÀ-ÖØ-öø-ÿĀ-įı-ſ]+)([.,;:!?])")
 
 
@@ -48,18 +60,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = f"<u{width}"
+        self.dtype, self.code = f"<u{width}", {2: "H", 4: "I"}[width]
         #: Does the blank before a word belong to the word's first token?
         self.blanks_count = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.newline = self._whole("\n")
 
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
     def _whole(self, text: str) -> bytes:
-        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _learn(self, words: list[str]) -> None:
         """Fetch words from the old half of the cache, or from the library."""
@@ -69,7 +78,7 @@ class Encoder:
             if known is not None:
                 young[word] = known
                 continue
-            split = MARKED.fullmatch(word, 1 if word[:1] == " " else 0)
+            split = word[-1:] in MARKS and MARKED.fullmatch(word, 1 if word[:1] == " " else 0)
             if split:
                 joined.append((word, word[: split.end(1)], split[2]))
             else:
@@ -84,27 +93,79 @@ class Encoder:
         for start in range(0, len(missing), 1024):
             block = missing[start : start + 1024]
             for word, found in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
-                young[word] = self._bytes(found.ids)
+                young[word] = array(self.code, found.ids).tobytes()
         for word, stem, mark in joined:
             young[word] = young[stem] + young[mark]
 
-    def encode(self, text: str) -> bytes:
+    def _cut(self, text: str) -> str | None:
+        """The text with ``CUT`` between its words; None if it must go to the library whole."""
         if self.blanks_count:
-            if not cut_is_safe(text):
-                return self._whole(text)
             # A blank starts the next word's token; a line end is a token of its own.
-            words = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        else:
-            # This vocabulary has no upper case.
-            words = (text.lower() if text.isascii() and "<|" not in text else text).replace("\n", " ").split(" ")
+            return text.replace(" ", "\0 ").replace("\n", "\0\n\0") if cut_is_safe(text) else None
+        if CUT in text:
+            return None
+        # This vocabulary has no upper case.
+        lower = text.lower() if text.isascii() and "<|" not in text else text
+        return lower.replace("\n", CUT).replace(" ", CUT)
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
         if len(self.young) > CACHE:
             self.old, self.young = self.young, {}
-        young = self.young
-        try:
-            return b"".join([young[w] for w in words])
-        except KeyError:
-            self._learn([w for w in dict.fromkeys(words) if w not in young])
-            return b"".join([young[w] for w in words])
+        found = list(map(self.young.get, words))
+        missing = [word for word, ids in zip(words, found) if ids is None]
+        if missing:
+            self._learn(missing)
+            found = [self.young[word] if ids is None else ids for word, ids in zip(words, found)]
+        return found
+
+    def encode(self, text: str) -> bytes:
+        cut = self._cut(text)
+        if cut is None:
+            return self._whole(text)
+        words = cut.split(CUT)
+        distinct = list(dict.fromkeys(words))
+        ids = dict(zip(distinct, self._known(distinct)))
+        return b"".join([ids[w] for w in words])
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text (NULL: none), in order."""
+        start = held = 0
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        for place, length in enumerate(lengths):
+            if place > start and held + length > SLICE:
+                yield from self._slice(texts.slice(start, place - start))
+                start, held = place, 0
+            held += length
+        yield from self._slice(texts.slice(start))
+
+    def _slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        if not len(texts):
+            return
+        cuts, whole = [], {}
+        for place, text in enumerate(texts.to_pylist()):
+            cut = self._cut(text or "")
+            if cut is None:
+                whole[place], cut = self._whole(text), ""  # an empty word, replaced below
+            cuts.append(cut)
+        lists = pc.split_pattern(pa.array(cuts, pa.large_string()), CUT)
+        words = lists.flatten().dictionary_encode()
+        first = lists.offsets.to_numpy()
+        ids = self._known(words.dictionary.to_pylist())
+        number = words.indices.to_numpy().astype(np.int64)
+        for place, found in whole.items():
+            number[first[place]] = len(ids)
+            ids.append(found)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(self.dtype).itemsize
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        begins = np.cumsum(sizes) - sizes
+        ends = np.concatenate([[0], np.cumsum(sizes[number])])
+        for one, two in zip(first[:-1].tolist(), first[1:].tolist()):
+            word = number[one:two]
+            size = sizes[word]
+            # Each word's ids, from their place in ``flat`` to their place in the text.
+            shift = np.repeat(begins[word] - (ends[one:two] - ends[one]), size)
+            yield flat[shift + np.arange(len(shift))]
 
 
 @lru_cache(maxsize=4)

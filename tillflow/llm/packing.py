@@ -42,12 +42,11 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, 2).encode
+        encode_all = encoder(tokenizer, 2).encode_all
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(encode(text.as_py() or ""), "<u2").astype("<u4")
-                ids = np.append(ids, np.uint32(END_ID))
+            for doc_id, found in zip(batch.column(0).to_pylist(), encode_all(batch.column(1))):
+                ids = np.append(found.astype("<u4"), np.uint32(END_ID))
                 for piece, start in enumerate(range(0, len(ids), length)):
                     part = ids[start : start + length]
                     rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
