@@ -98,6 +98,26 @@ def test_components_by_jaccard(spark):
     assert sorted(got, key=repr) == expected_components(cases.rows())
 
 
+def test_components_by_differences(spark, monkeypatch):
+    """Groups around bases of several sizes, most nodes too different to link, met by their differences."""
+    monkeypatch.setattr(jaccard, "SHORT", 2)
+    monkeypatch.setattr(jaccard, "WORTH", 1)
+    rng, data = np.random.default_rng(8), []
+    for base, (length, most) in enumerate([(60, 5), (60, 2), (150, 9), (400, 24)]):
+        words = [f"b{base}w{k}" for k in range(length)]
+        edits = [(int(p), f"e{base}{k}") for k, p in enumerate(rng.integers(0, length, 12))]
+        for _ in range(60):
+            copy = list(words)
+            for place in rng.choice(length, int(rng.integers(0, most)), replace=False):
+                copy[place] = f"x{rng.integers(1 << 30)}"
+            for k in rng.choice(len(edits), int(rng.integers(0, 4)), replace=False):  # shared by some
+                copy[edits[k][0]] = edits[k][1]
+            data.append((len(data), " ".join(copy[int(rng.integers(0, 4)) :]), "en", "a", 1, *["clash"] * len(cases.CLASHING)))
+    got = [tuple(r) for r in jaccard.components(cases.frame(spark, data)).collect()]
+    assert sorted(got, key=repr) == expected_components(data)
+    assert 4 < len({r[2] for r in got}) < len(got)
+
+
 def near_copies(count, seed=1):
     """A chain and a crowd of near copies, some just over and some just under the limit."""
     rng = np.random.default_rng(seed)

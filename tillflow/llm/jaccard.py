@@ -11,15 +11,20 @@ and a segment counts twice if it may differ by one shingle.
 *Probe.* Every set looks for sets of its own and of the next lower band, with H + 1 units spent where
 they are cheapest: a unit looks a segment up as it is; a second one also finds segments with one
 shingle more or less. The cost is the number of documents that hold the rarest shingle of the
-segment; a table of the frequent ones (bounded, as it holds those above a fixed share of all
-shingles) is counted first over all documents. So passages that many documents share are not looked up.
+segment; a table of the most frequent ones (bounded by its number of entries) is counted first over all
+documents. So passages that many documents share are not looked up.
 *Verify.* Candidates are compared shingle by shingle.
 
 Only components are asked for, so a list of candidates need not become all its pairs. Equal sets are
 one node from the start. In rounds, every node is compared with one pivot of its lists, and lists
 that lie within one component are done. Rounds go on as long as they link at least one in ``WORTH`` of the
-nodes that are left. At the end, in lists that still span several, each node is
-met by all nodes outside its component; pairs whose sketches of ``SKETCH`` parity bits differ in more
+nodes that are left; a list's pivot is its node that is in the most lists, which in a group of near
+copies is one close to most. At the end, in lists that still span several, nodes outside the largest
+component look for others. In lists of up to ``SHORT`` nodes they meet all. In longer ones every node is
+written as its difference from the list's pivot (``by_difference``): two nodes that are similar, but not
+merely since both are close to the pivot, share many shingles of their differences, so that one lies
+among the first few of each in a common order; so large groups of copies that are all just too
+different don't become all their pairs. Pairs whose sketches of ``SKETCH`` parity bits differ in more
 than H places are passed over, since each bit that differs is a shingle that differs, and the closest
 pairs are compared first, until all that are left lie within components.
 
@@ -54,8 +59,10 @@ from tillflow.operators.rows import first_rows
 WORDS = 5
 #: One in so many segments is also indexed with one shingle left out.
 DELETABLE = 32
-#: Shingles held by more than this share of all shingles' number count as frequent: at most 2**18.
+#: Most shingles whose number of documents is known to all tasks; the least frequent ones give way.
 FREQUENT = 1 << 18
+#: Shingles that a task counts together, and the count in them from which on one is reported.
+WINDOW, REPORTED = 1 << 22, 3
 #: Texts and bytes that are worked on together, and segment hashes of a bucket.
 BATCH_ROWS, BATCH_BYTES = 4096, 2 << 20
 BUCKET = 1 << 18
@@ -68,6 +75,8 @@ SKETCH = 2048
 COMMON = 6
 #: Rounds of pivots go on while they link one in so many of the nodes left, two at least.
 ROUNDS, WORTH = 2, 50
+#: Nodes of a list up to which the last step meets them directly.
+SHORT = 16
 INDEX, PROBE, COMMON_FLAG = 1, 2, 4
 U64 = np.uint64
 
@@ -238,39 +247,58 @@ def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 # --- first pass: sizes, keys, frequent shingles --------------------------------------------
 
 
+def _counted(pending: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that occur often enough in the window, and how often."""
+    values, counts = np.unique(np.concatenate(pending), return_counts=True) if pending else (np.zeros(0, U64),) * 2
+    often = counts >= REPORTED
+    return values[often], counts[often]
+
+
 def described(texts: DataFrame) -> DataFrame:
-    """``doc, n, high, low`` of every row, and ``token, count`` of shingles repeated in a batch; stored."""
+    """``doc, n, high, low`` of every row, and ``token, count`` of shingles repeated in a window; stored."""
+
+    def rows_of(sets: Sets | None, values: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        n, t = len(sets.ids) if sets else 0, len(values)
+        none = pa.nulls(t, pa.int64())
+        held = [sets.ids, sets.sizes, *sets.key.view(np.int64).T] if sets else [np.zeros(0, np.int64)] * 4
+        counted = [values.view(np.int64), counts.astype(np.int64)]
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array(np.ascontiguousarray(c)), none]) for c in held]
+            + [pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(c)]) for c in counted],
+            names=["doc", "n", "high", "low", "token", "count"],
+        )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending, held = [], 0
         for batch in batches:
             for part in slices(batch):
                 sets = Sets(part)
                 alone = np.zeros(len(sets.ids), bool)
                 alone[sets.once()] = True
-                values, counts = np.unique(sets.tokens[alone[sets.owner]], return_counts=True)
-                values, counts = values[counts > 1], counts[counts > 1]
-                n, t = len(sets.ids), len(values)
-                none = pa.nulls(t, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.concat_arrays([pa.array(sets.ids), none]),
-                        pa.concat_arrays([pa.array(sets.sizes), none]),
-                        pa.concat_arrays([pa.array(sets.key[:, 0].view(np.int64)), none]),
-                        pa.concat_arrays([pa.array(sets.key[:, 1].view(np.int64)), none]),
-                        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(values.view(np.int64))]),
-                        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(counts.astype(np.int64))]),
-                    ],
-                    names=["doc", "n", "high", "low", "token", "count"],
-                )
+                pending.append(sets.tokens[alone[sets.owner]])
+                held += len(pending[-1])
+                full = held >= WINDOW
+                yield rows_of(sets, *_counted(pending if full else []))
+                if full:
+                    pending, held = [], 0
+        yield rows_of(None, *_counted(pending))
 
     schema = "doc bigint, n bigint, high bigint, low bigint, token bigint, count bigint"
     return stored(texts.mapInArrow(scan, schema), "sets")
 
 
-def frequent(info: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent shingles, sorted, and their counts; at most ``FREQUENT`` by the limit."""
+def frequent(info: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, sorted, and their counts; at most ``most``, of whole steps of frequency."""
+    step = F.floor(8 * F.log2("count")).cast("int")
     counts = info.where("token IS NOT NULL").groupBy("token").agg(F.sum("count").alias("count"))
-    rows = counts.where(F.col("count") > max(1, total // FREQUENT)).toPandas()
+    counts = stored(counts.withColumn("step", step), "counts")
+    least, listed = 1 << 20, 0
+    for row in counts.groupBy("step").count().orderBy(F.desc("step")).collect():  # a few hundred at most
+        listed += row["count"]
+        if listed > most:
+            break
+        least = row["step"]
+    rows = counts.where(F.col("step") >= least).select("token", "count").toPandas()
     tokens = rows["token"].to_numpy(np.int64).view(U64)
     order = np.argsort(tokens)
     return tokens[order], rows["count"].to_numpy(np.int64)[order]
@@ -540,6 +568,83 @@ def relabelled(rows: DataFrame, labels: DataFrame, node: str, into: str) -> Data
     return joined.withColumn(into, F.coalesce("_found", node)).drop("_node", "_found")
 
 
+def pivots(lists: DataFrame) -> DataFrame:
+    """``same, pivot`` (its doc and label): of each list the node that is in the most lists; stored."""
+    spread = stored(lists.groupBy(F.col("doc").alias("node")).agg(F.count("*").alias("lists")), "spread")
+    ranked = lists.join(spread, F.col("doc") == F.col("node"))
+    central = F.max_by(F.struct("label", "doc"), F.struct("lists", -F.col("doc"))).alias("pivot")
+    return stored(ranked.groupBy(F.col("hash").alias("same")).agg(central), "pivots")
+
+
+def by_difference(lists: DataFrame, sets: TokenSets) -> DataFrame:
+    """``a, b``: pairs of different components in the same list that may be similar, all similar ones included.
+
+    A node x is its difference D(x) from the list's pivot, of d(x) shingles. For a similar pair, x and y differ
+    in at most H = (a + b) / 7, at most a third of either size, so d(x) and d(y) differ by at most H, too.
+    If d(x) + d(y) <= H, both are similar to the node with the least 7 d - n, so every node is paired with
+    that one. Else D(x) and D(y) have at least (d(x) + d(y) - H) / 2 shingles in common, and the first of those,
+    in any order, has at most (d(x) - d(y) + H) / 2 before it in D(x), and likewise in D(y). The order is: shingles
+    that the pivot lacks, which are mostly rare, then its own. At least one of a pair lies outside the largest
+    component, whose nodes need list only what differences as large as those can meet.
+    """
+    chosen = lists.join(pivots(lists), F.col("hash") == F.col("same"))
+    chosen = stored(chosen.select(F.col("doc").alias("a"), F.col("pivot.doc").alias("b"), "label").distinct(), "from-pivots")
+    held = sets.of(chosen)
+    rows = chosen
+    for side in ("a", "b"):
+        one = held.select(F.col("doc").alias(f"d_{side}"), F.col("tokens").alias(f"t_{side}"))
+        rows = rows.join(one, F.col(side) == F.col(f"d_{side}"))
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, apart, first = [], [], []
+            for x, y in zip(batch.column(3), batch.column(4)):
+                own, base = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
+                added = np.setdiff1d(own, base, assume_unique=True)
+                lost = np.setdiff1d(base, own, assume_unique=True)
+                sizes.append(len(own))
+                apart.append(len(added) + len(lost))
+                first.append(np.concatenate([np.sort(added), np.sort(lost)])[: len(own) // 3 + 1].view(np.int64))
+            made = [pa.array(sizes, pa.int64()), pa.array(apart, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], *made], names=["doc", "pivot", "label", "n", "d", "tokens"]
+            )
+
+    schema = "doc bigint, pivot bigint, label bigint, n bigint, d bigint, tokens array<bigint>"
+    nodes = stored(rows.select("a", "b", "label", "t_a", "t_b").mapInArrow(differ, schema), "differences")
+    closest = nodes.groupBy(F.col("pivot").alias("same")).agg(
+        F.min_by(F.struct("doc", "label"), F.struct(7 * F.col("d") - F.col("n"), "doc")).alias("center")
+    )
+    to_center = nodes.join(stored(closest, "centers"), F.col("pivot") == F.col("same")).where(
+        F.col("label") != F.col("center.label")
+    )
+    counts = stored(nodes.groupBy(F.col("pivot").alias("same"), "label").agg(F.count("*").alias("size"), F.min("d").alias("d")), "counts")
+    main = counts.groupBy("same").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
+    least = counts.join(stored(main.withColumnRenamed("same", "group"), "main"), F.col("same") == F.col("group")).groupBy("same").agg(
+        F.min("main").alias("main"), F.min(F.when(F.col("label") != F.col("main"), F.col("d"))).alias("least")
+    )
+    placed = nodes.join(stored(least.where("least IS NOT NULL"), "least"), F.col("pivot") == F.col("same"))
+    placed = placed.withColumn("minor", F.col("label") != F.col("main"))
+    # Twice the rank that a shingle may have: at most a third of the size more than d is above its partner's.
+    reach = F.when(F.col("minor"), 2 * F.floor(F.col("n") / 3)).otherwise(F.col("d") - F.col("least") + F.floor(F.col("n") / 3))
+    listed = placed.where(reach >= 0).select(
+        "doc", "pivot", "label", "n", "d", "minor", reach.alias("reach"), F.posexplode("tokens").alias("rank", "token")
+    )
+    listed = stored(listed.where("2 * rank <= reach").drop("reach"), "prefixes")
+    low, high = (
+        rows.select("pivot", "token", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "label", "n", "d", "minor", "rank")])
+        for side, rows in (("a", listed.where("2 * rank <= floor(n / 3)")), ("b", listed))
+    )
+    most = "floor((n_a + n_b) / 7)"
+    met = low.join(high, ["pivot", "token"]).where(
+        f"d_a <= d_b AND label_a <> label_b AND (minor_a OR minor_b) AND 4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)"
+        f" AND 2 * rank_a <= d_a - d_b + {most} AND 2 * rank_b <= d_b - d_a + {most}"
+    )
+    return met.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).unionByName(
+        to_center.select(F.col("doc").alias("a"), F.col("center.doc").alias("b"))
+    )
+
+
 def clustered(lists: DataFrame, texts: DataFrame) -> DataFrame:
     """``node, label`` of all documents that are linked with another."""
     spark = lists.sparkSession
@@ -553,8 +658,7 @@ def clustered(lists: DataFrame, texts: DataFrame) -> DataFrame:
     done, more = 0, True
     while done < ROUNDS or more:
         done += 1
-        pivots = lists.groupBy(F.col("hash").alias("same")).agg(F.min(F.struct("label", "doc")).alias("pivot"))
-        met = lists.join(stored(pivots, "pivots"), F.col("hash") == F.col("same"))
+        met = lists.join(pivots(lists), F.col("hash") == F.col("same"))
         met = met.where(F.col("label") != F.col("pivot.label"))
         votes = met.groupBy(F.col("doc").alias("a"), F.col("pivot.doc").alias("b")).agg(F.count("*").alias("votes"))
         votes = votes.join(tested, ["a", "b"], "left_anti")
@@ -568,7 +672,10 @@ def clustered(lists: DataFrame, texts: DataFrame) -> DataFrame:
         lists = spanning(relabelled(lists, labels, "doc", "label"))
         if lists.isEmpty():
             return labels
-    # What still lies apart: in each list, all outside its largest component against all.
+    # What still lies apart: in each list, all outside its largest component against all, or by differences.
+    lengths = stored(lists.groupBy(F.col("hash").alias("same")).agg(F.count("*").alias("k")), "lengths")
+    measured = stored(lists.join(lengths, F.col("hash") == F.col("same")).drop("same"), "measured")
+    long, lists = (measured.where(f"k {sign} {SHORT}").drop("k") for sign in (">", "<="))
     counts = lists.groupBy("hash", "label").agg(F.count("*").alias("size"))
     largest = counts.groupBy(F.col("hash").alias("same")).agg(F.max(F.struct("size", "label")).alias("most"))
     minor = lists.join(stored(largest, "largest"), F.col("hash") == F.col("same")).where(
@@ -581,7 +688,11 @@ def clustered(lists: DataFrame, texts: DataFrame) -> DataFrame:
     met = stored(one, "minor").join(two, "hash").where(
         "label_a <> label_b AND (flags_a | flags_b) = 3 AND 4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)"
     )
-    pairs = met.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct()
+    pairs = met.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
+    if not long.isEmpty():
+        pairs = pairs.unionByName(by_difference(long, sets))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = pairs.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     left = near(stored(pairs, "pairs"), drawn)
     if left.isEmpty():
         return labels
@@ -608,7 +719,7 @@ def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     info = described(texts)
     rows = info.where("token IS NULL").drop("token", "count")
     total = rows.agg(F.sum("n")).first()[0] or 0
-    common = frequent(info, total)
+    common = frequent(info)
     lists = repeated(texts, common, total)
     wide, wider = lists, 1
     while wide.where("lacking > 0").count():
