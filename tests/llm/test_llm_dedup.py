@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -300,3 +301,32 @@ def test_cuts_move_with_insertions():
         assert ends[-1] == len(x) and sizes.max() <= chunking.MOST and (sizes[:-1] >= chunking.LEAST).all()
         for a, b in zip([0, *ends], ends):
             x[a:b].decode()
+
+
+def test_packed_rows_carry_half_a_key_of_each_set(spark):
+    texts = spark.range(400).select(
+        F.col("id").alias("doc"),
+        F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.md5(F.concat_ws("-", "id", i))), " ").alias("text"),
+    )
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    for row in jaccard.packed(texts.coalesce(1), none, 61, 1).collect():
+        places = np.frombuffer(row.places, np.uint16) & 0x1FFF
+        wide = 4 if row.bucket >= 0 else 8
+        carried = sum(len(value) for value in row.asDict().values() if isinstance(value, (bytes, bytearray)))
+        assert carried == (wide + 2) * len(places) + 8 * len(np.unique(places))
+
+
+def test_frequent_shingles_of_a_window():
+    random = np.random.default_rng(5)
+    drawn = np.concatenate([random.zipf(1.3, 50_000), random.integers(0, 1 << 62, 250_000)]).astype(np.uint64)
+    values, counts = np.unique(drawn, return_counts=True)
+    pending = [drawn[:100_000], drawn[100_000:]]
+    tracemalloc.start()
+    found = jaccard._counted(pending)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(found[0], values[counts >= jaccard.REPORTED])
+    assert np.array_equal(found[1], counts[counts >= jaccard.REPORTED])
+    assert peak < 2 * drawn.nbytes
+    for few in ([], [drawn[:1]], [drawn[:2]]):
+        assert not len(jaccard._counted(few)[0])

@@ -34,8 +34,8 @@ stored for sets with a segment that is repeated elsewhere, and shingles for thos
 
 Defined results: NULL and empty texts have no shingles, no links, and are their own component. Rows
 with a NULL id are linked with nothing and have a NULL component. Rows with the same id are one
-document for links. Shingles are compared by 64-bit hashes, sets by 128 bits. An empty table gives an
-empty result.
+document for links. Shingles are compared by 64-bit hashes, sets by 128 bits (64 within a list). An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ FREQUENT = 1 << 18
 #: Shingles that a task counts together, and the count in them from which on one is reported.
 WINDOW, REPORTED = 1 << 22, 3
 #: Texts and bytes that are worked on together, and segment hashes of a bucket.
-BATCH_ROWS, BATCH_BYTES = 4096, 2 << 20
+BATCH_ROWS, BATCH_BYTES = 4096, 1 << 20
 BUCKET = 1 << 18
 #: Bytes of a segment hash that travel, besides the first bits, which its bucket tells. A bucket has
 #: some 2**18 hashes at any size of the input, so few of them agree by chance.
@@ -249,9 +249,11 @@ def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def _counted(pending: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The shingles that occur often enough in the window, and how often."""
-    values, counts = np.unique(np.concatenate(pending), return_counts=True) if pending else (np.zeros(0, U64),) * 2
-    often = counts >= REPORTED
-    return values[often], counts[often]
+    window = np.concatenate(pending) if pending else np.zeros(0, U64)
+    pending.clear()  # a window is large: it is sorted in place, and only what is reported is copied
+    window.sort()
+    values = np.unique(window[REPORTED - 1 :][window[REPORTED - 1 :] == window[: len(window) - REPORTED + 1]])
+    return values, np.searchsorted(window, values, "right") - np.searchsorted(window, values, "left")
 
 
 def described(texts: DataFrame) -> DataFrame:
@@ -306,7 +308,7 @@ def frequent(info: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndar
 
 # --- second pass: segment hashes that are repeated -------------------------------------------
 
-PACKED = "bucket int, hashes binary, places binary, high binary, low binary, docs binary, sizes binary, lacking int"
+PACKED = "bucket int, hashes binary, places binary, high binary, lacking int"
 
 
 def packed(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], shift: int, wider: int) -> DataFrame:
@@ -383,38 +385,33 @@ def _packed(sent, hashes, entries, sets, once, lacking, shift) -> pa.RecordBatch
     for number, places in sent:
         inside = entries[places]
         used, renamed = np.unique(inside & 0x1FFF, return_inverse=True)
-        rows_of = once[used]
         rows.append(
             (
                 number,
                 _short(hashes[places], shift) if number >= 0 else hashes[places].tobytes(),
                 ((inside & 0xE000) | renamed.astype(np.uint16)).tobytes(),
-                sets.key[rows_of, 0].tobytes(),
-                sets.key[rows_of, 1].tobytes(),
-                sets.ids[rows_of].tobytes(),
-                sets.sizes[rows_of].astype(np.int32).tobytes(),
+                sets.key[once[used], 0].tobytes(),
                 lacking,
             )
         )
-    columns = list(zip(*rows)) or [[]] * 8
-    types = [pa.int32(), *[pa.binary()] * 6, pa.int32()]
+    columns = list(zip(*rows)) or [[]] * 5
+    types = [pa.int32(), *[pa.binary()] * 3, pa.int32()]
     names = [field.split()[0] for field in PACKED.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
-REPEATED = "hash bigint, high bigint, low bigint, doc bigint, n int, flags int, lacking int"
+REPEATED = "hash bigint, high bigint, flags int, lacking int"
 
 
 def _unpacked(frame: pd.DataFrame, shift: int) -> dict[str, np.ndarray]:
-    out: dict[str, list] = {name: [] for name in ("hash", "flags", "high", "low", "doc", "n")}
+    out: dict[str, list] = {name: [] for name in ("hash", "flags", "high")}
     for row in frame.itertuples():
         entries = np.frombuffer(row.places, np.uint16)
         place = entries & 0x1FFF
         whole = row.bucket < 0
         out["hash"].append(np.frombuffer(row.hashes, U64) if whole else _long(row.hashes, row.bucket, shift))
         out["flags"].append((entries >> 13).astype(np.int32))
-        for name, column, kind in (("high", row.high, U64), ("low", row.low, U64), ("doc", row.docs, np.int64), ("n", row.sizes, np.int32)):
-            out[name].append(np.frombuffer(column, kind)[place])
+        out["high"].append(np.frombuffer(row.high, U64)[place])
     return {name: np.concatenate(parts) for name, parts in out.items()}
 
 
@@ -426,7 +423,7 @@ def repeated_in_bucket(frame: pd.DataFrame, shift: int) -> pd.DataFrame:
         rows = {name: column[order] for name, column in rows.items()}
         h = rows["hash"]
         same = h[1:] == h[:-1]
-        apart = same & ((rows["high"][1:] != rows["high"][:-1]) | (rows["low"][1:] != rows["low"][:-1]))
+        apart = same & (rows["high"][1:] != rows["high"][:-1])
         new = np.append(True, ~same)
         at = np.flatnonzero(new)
         shared = np.append(False, apart).astype(np.int64) + ((rows["flags"] & COMMON_FLAG) > 0)
@@ -439,25 +436,28 @@ def repeated_in_bucket(frame: pd.DataFrame, shift: int) -> pd.DataFrame:
     out["flags"] &= INDEX | PROBE
     out["lacking"] = np.int32(0)
     if int(frame["bucket"].iloc[0]) < 0 and frame["lacking"].max() > 0:  # a row that only says so
-        says = {"hash": 0, "high": 0, "low": 0, "doc": -1, "n": 0, "flags": 0, "lacking": 1}
+        says = {"hash": 0, "high": 0, "flags": 0, "lacking": 1}
         out = pd.concat([out, pd.DataFrame([says])], ignore_index=True)
-    return out[["hash", "high", "low", "doc", "n", "flags", "lacking"]]
+    return out[["hash", "high", "flags", "lacking"]]
 
 
-def repeated(texts: DataFrame, common, total: int, wider: int = 1) -> DataFrame:
-    """``hash, doc, n, flags, lacking`` for segment hashes that several sets share; stored."""
+def repeated(texts: DataFrame, least: DataFrame, common, total: int, wider: int = 1) -> DataFrame:
+    """``hash, doc, n, flags, lacking`` for segment hashes that several sets share; stored.
+
+    A set travels as half of its key; ``least`` (``high, low, n, least``, stored) tells its size and the least
+    id that names it.
+    """
     buckets = 1 << max(3, math.ceil(math.log2(max(1, total * 0.75 / BUCKET))))
     shift = 64 - (buckets.bit_length() - 1)
     rows = packed(texts, common, shift, wider).groupBy("bucket")
     rows = rows.applyInPandas(lambda frame: repeated_in_bucket(frame, shift), REPEATED)
-    # A set is named by its least id; the rows of one set and hash may come from several batches.
-    merged = rows.groupBy("hash", "high", "low").agg(
-        F.min("doc").alias("doc"),
-        F.max("n").alias("n"),
-        F.bit_or("flags").alias("flags"),
-        F.max("lacking").alias("lacking"),
-    )
-    return stored(merged.drop("high", "low"), "repeated")
+    # The rows of one set and hash may come from several batches.
+    merged = rows.groupBy("hash", "high").agg(F.bit_or("flags").alias("flags"), F.max("lacking").alias("lacking"))
+    names = least.select(F.col("high").alias("h"), F.col("n").cast("int"), F.col("least").alias("doc"))
+    named = merged.join(names, F.col("high") == F.col("h"), "left")
+    # A row that only says that some set lacks segments has no set.
+    told = {"doc": F.coalesce("doc", F.lit(-1)), "n": F.coalesce("n", F.lit(0))}
+    return stored(named.withColumns(told).select("hash", "doc", "n", "flags", "lacking"), "repeated")
 
 
 # --- verification -----------------------------------------------------------------------
@@ -720,16 +720,17 @@ def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     rows = info.where("token IS NULL").drop("token", "count")
     total = rows.agg(F.sum("n")).first()[0] or 0
     common = frequent(info)
-    lists = repeated(texts, common, total)
+    sets = rows.where("n > 0").groupBy("high", "low").agg(F.max("n").alias("n"), F.min("doc").alias("least"))
+    sets = stored(sets, "distinct")
+    lists = repeated(texts, sets, common, total)
     wide, wider = lists, 1
     while wide.where("lacking > 0").count():
         # Some set has too few filled segments: again with eight times as many, until none has.
         wider *= 8
-        wide = repeated(texts, common, total, wider)
+        wide = repeated(texts, sets, common, total, wider)
         lists = lists.unionByName(wide)
     labels = stored(clustered(lists, texts), "labels")
-    classes = rows.where("n > 0").groupBy("high", "low").agg(F.min("doc").alias("least"))
-    classes = classes.join(labels, F.col("least") == F.col("node"), "left").select(
+    classes = sets.join(labels, F.col("least") == F.col("node"), "left").select(
         F.col("high").alias("h"), F.col("low").alias("l"), F.coalesce("label", "least").alias("component")
     )
     known = rows.join(
