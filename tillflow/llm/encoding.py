@@ -25,6 +25,8 @@ import pyarrow.compute as pc
 CACHE = 500_000
 #: Characters of a slice of texts whose words are numbered together (a longer text is a slice alone).
 SLICE = 16 << 20
+#: Words of texts whose ids are gathered together (a longer text is gathered alone).
+GATHERED = 1 << 16
 #: Where texts are cut. Texts that hold it go to the library whole.
 CUT = "\0"
 #: Control characters, blanks other than the usual one and the line end, and signs of no width.
@@ -48,7 +50,7 @@ def cut_is_safe(text: str) -> bool:
 
 #: A word followed by one mark that the vocabularies always cut off. The letter U+0130 is not among its
 #: letters: in lower case it becomes two code points, of which the last joins the mark.
-MARKS = tuple(".,;:!?")
+MARKS = frozenset(".,;:!?")
 MARKED = re.compile("([A-Za-zÀ-ÖØ-öø-ÿĀ-įı-ſ]+)([.,;:!?])")
 
 
@@ -63,6 +65,11 @@ class Encoder:
         self.dtype, self.code = f"<u{width}", {2: "H", 4: "I"}[width]
         #: Does the blank before a word belong to the word's first token?
         self.blanks_count = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
+        #: A special token that stands for itself wherever it is, and its id.
+        self.special, self.special_id = None, -1
+        for number, token in self.tokenizer.get_added_tokens_decoder().items():
+            if token.special and not (token.normalized or token.single_word or token.lstrip or token.rstrip):
+                self.special, self.special_id = token.content, number
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.newline = self._whole("\n")
@@ -73,29 +80,43 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         """Fetch words from the old half of the cache, or from the library."""
         young, missing, joined = self.young, [], []
-        for word in words:
-            known = self.old.get(word)
+        for word, known in zip(words, map(self.old.get, words)):
             if known is not None:
                 young[word] = known
-                continue
-            split = word[-1:] in MARKS and MARKED.fullmatch(word, 1 if word[:1] == " " else 0)
-            if split:
-                joined.append((word, word[: split.end(1)], split[2]))
+            elif word[-1:] in MARKS and MARKED.fullmatch(word, word[:1] == " "):
+                joined.append(word)
             else:
                 missing.append(word)
-        parts = {p for _, a, b in joined for p in (a, b) if p not in young}
-        for part in list(parts):
-            known = self.old.get(part)
-            if known is not None:
-                young[part] = known
-                parts.discard(part)
-        missing = list(dict.fromkeys([*missing, *parts]))
+        parts = [*dict.fromkeys([word[:-1] for word in joined]), *{word[-1] for word in joined}]
+        for part, known in zip(parts, map(self.old.get, parts)):
+            if part not in young:
+                if known is None:
+                    missing.append(part)
+                else:
+                    young[part] = known
+        missing = list(dict.fromkeys(missing))
         for start in range(0, len(missing), 1024):
             block = missing[start : start + 1024]
-            for word, found in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
-                young[word] = array(self.code, found.ids).tobytes()
-        for word, stem, mark in joined:
-            young[word] = young[stem] + young[mark]
+            young.update(zip(block, self._each(block)))
+        for word in joined:
+            young[word] = young[word[:-1]] + young[word[-1]]
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        """The ids of each word.
+
+        They go to the library as one text, since a call for each takes longer. A special token between two
+        words stands for itself, and the library handles what lies between such tokens on its own.
+        """
+        if self.special is not None and not any(self.special in word for word in words):
+            text = self.special.join(words)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.flatnonzero(ids == self.special_id)
+            if len(ends) == len(words) - 1:
+                data, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+                starts, ends = [0, *((ends + 1) * width).tolist()], [*(ends * width).tolist(), len(data)]
+                return [data[one:two] for one, two in zip(starts, ends)]
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array(self.code, x.ids).tobytes() for x in found]
 
     def _cut(self, text: str) -> str | None:
         """The text with ``CUT`` between its words; None if it must go to the library whole."""
@@ -151,7 +172,7 @@ class Encoder:
         lists = pc.split_pattern(pa.array(cuts, pa.large_string()), CUT)
         words = lists.flatten().dictionary_encode()
         first = lists.offsets.to_numpy()
-        ids = self._known(words.dictionary.to_pylist())
+        ids = self._known(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         number = words.indices.to_numpy().astype(np.int64)
         for place, found in whole.items():
             number[first[place]] = len(ids)
@@ -159,13 +180,20 @@ class Encoder:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(self.dtype).itemsize
         flat = np.frombuffer(b"".join(ids), self.dtype)
         begins = np.cumsum(sizes) - sizes
-        ends = np.concatenate([[0], np.cumsum(sizes[number])])
-        for one, two in zip(first[:-1].tolist(), first[1:].tolist()):
-            word = number[one:two]
+        start = 0
+        while start < len(cuts):
+            # Some texts together: at least one, and more while their words are few.
+            end = max(start + 1, int(np.searchsorted(first, first[start] + GATHERED, "right")) - 1)
+            word = number[first[start] : first[end]]
             size = sizes[word]
-            # Each word's ids, from their place in ``flat`` to their place in the text.
-            shift = np.repeat(begins[word] - (ends[one:two] - ends[one]), size)
-            yield flat[shift + np.arange(len(shift))]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            # Each word's ids, from their place in ``flat`` to their place in these texts.
+            shift = np.repeat(begins[word] - ends[:-1], size)
+            shift += np.arange(len(shift))
+            found, bounds = flat[shift], ends[first[start : end + 1] - first[start]].tolist()
+            for one, two in zip(bounds, bounds[1:]):
+                yield found[one:two]
+            start = end
 
 
 @lru_cache(maxsize=4)
