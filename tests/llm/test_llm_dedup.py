@@ -330,3 +330,19 @@ def test_frequent_shingles_of_a_window():
     assert peak < 2 * drawn.nbytes
     for few in ([], [drawn[:1]], [drawn[:2]]):
         assert not len(jaccard._counted(few)[0])
+
+
+def test_differences_meet_through_rare_shingles(spark, monkeypatch):
+    """Nodes that share some changes of a pivot's text, but are not similar, don't all meet each other."""
+    rng, base = np.random.default_rng(3), [f"w{k}" for k in range(400)]
+    data = [(0, " ".join(base), "en", "a", 1, *["clash"] * len(cases.CLASHING))]
+    for k in range(1, 91):
+        words = [f"s{place}" if place in (10, 20, 30, 40) else word for place, word in enumerate(base)]
+        for place in rng.choice(np.arange(50, 390, 6), 24, replace=False):
+            words[place] = f"x{rng.integers(1 << 30)}"
+        data.append((k, " ".join(words), *data[0][2:]))
+    texts = cases.frame(spark, data).select(F.col("doc_id").cast("bigint").alias("doc"), "text")
+    lists = texts.select(F.lit(7).cast("bigint").alias("hash"), "doc", F.lit(3).alias("flags"), F.col("doc").alias("label"))
+    pivot = F.struct(F.lit(0).cast("bigint").alias("label"), F.lit(0).cast("bigint").alias("doc")).alias("pivot")
+    monkeypatch.setattr(jaccard, "pivots", lambda _: spark.range(7, 8).select(F.col("id").alias("same"), pivot))
+    assert jaccard.by_difference(lists, jaccard.TokenSets(texts)).count() < 3 * len(data)

@@ -45,9 +45,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import stored
@@ -373,7 +372,7 @@ def _short(hashes: np.ndarray, shift: int) -> bytes:
     return below.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
 
 
-def _long(data: bytes, bucket: int, shift: int) -> np.ndarray:
+def _long(data: pa.Buffer, bucket: int, shift: int) -> np.ndarray:
     """Hashes with the bits of their bucket in front; the bits that did not travel are 0."""
     wide = np.zeros((len(data) // HASH_BYTES, 8), np.uint8)
     wide[:, :HASH_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, HASH_BYTES)
@@ -403,22 +402,23 @@ def _packed(sent, hashes, entries, sets, once, lacking, shift) -> pa.RecordBatch
 REPEATED = "hash bigint, high bigint, flags int, lacking int"
 
 
-def _unpacked(frame: pd.DataFrame, shift: int) -> dict[str, np.ndarray]:
+def _unpacked(table: pa.Table, bucket: int, shift: int) -> dict[str, np.ndarray]:
     out: dict[str, list] = {name: [] for name in ("hash", "flags", "high")}
-    for row in frame.itertuples():
-        entries = np.frombuffer(row.places, np.uint16)
+    for found, places, high in zip(table["hashes"], table["places"], table["high"]):
+        entries = np.frombuffer(places.as_buffer(), np.uint16)
         place = entries & 0x1FFF
-        whole = row.bucket < 0
-        out["hash"].append(np.frombuffer(row.hashes, U64) if whole else _long(row.hashes, row.bucket, shift))
+        found = found.as_buffer()
+        out["hash"].append(np.frombuffer(found, U64) if bucket < 0 else _long(found, bucket, shift))
         out["flags"].append((entries >> 13).astype(np.int32))
-        out["high"].append(np.frombuffer(row.high, U64)[place])
+        out["high"].append(np.frombuffer(high.as_buffer(), U64)[place])
     return {name: np.concatenate(parts) for name, parts in out.items()}
 
 
-def repeated_in_bucket(frame: pd.DataFrame, shift: int) -> pd.DataFrame:
+def repeated_in_bucket(table: pa.Table, shift: int) -> pa.Table:
     """The entries of the segment hashes that two different sets of the bucket share."""
-    rows = _unpacked(frame, shift)
-    if int(frame["bucket"].iloc[0]) >= 0:
+    bucket = table["bucket"][0].as_py()
+    rows = _unpacked(table, bucket, shift)
+    if bucket >= 0:
         order = np.argsort(rows["hash"], kind="stable")
         rows = {name: column[order] for name, column in rows.items()}
         h = rows["hash"]
@@ -432,13 +432,11 @@ def repeated_in_bucket(frame: pd.DataFrame, shift: int) -> pd.DataFrame:
         looked = (np.add.reduceat(probes, at) > 0) | (np.add.reduceat((rows["flags"] & COMMON_FLAG > 0).astype(np.int64), at) > 0)
         keep = np.repeat(several & looked, np.diff(np.append(at, len(h))))
         rows = {name: column[keep] for name, column in rows.items()}
-    out = pd.DataFrame({n: (c.view(np.int64) if c.dtype == U64 else c) for n, c in rows.items()})
-    out["flags"] &= INDEX | PROBE
-    out["lacking"] = np.int32(0)
-    if int(frame["bucket"].iloc[0]) < 0 and frame["lacking"].max() > 0:  # a row that only says so
-        says = {"hash": 0, "high": 0, "flags": 0, "lacking": 1}
-        out = pd.concat([out, pd.DataFrame([says])], ignore_index=True)
-    return out[["hash", "high", "flags", "lacking"]]
+    rows["flags"] &= INDEX | PROBE
+    columns = [rows["hash"].view(np.int64), rows["high"].view(np.int64), rows["flags"], np.zeros(len(rows["hash"]), np.int32)]
+    if bucket < 0 and max(table["lacking"].to_pylist()) > 0:  # a row that only says so
+        columns = [np.append(column, column.dtype.type(says)) for column, says in zip(columns, (0, 0, 0, 1))]
+    return pa.table([pa.array(column) for column in columns], names=["hash", "high", "flags", "lacking"])
 
 
 def repeated(texts: DataFrame, least: DataFrame, common, total: int, wider: int = 1) -> DataFrame:
@@ -450,7 +448,7 @@ def repeated(texts: DataFrame, least: DataFrame, common, total: int, wider: int
     buckets = 1 << max(3, math.ceil(math.log2(max(1, total * 0.75 / BUCKET))))
     shift = 64 - (buckets.bit_length() - 1)
     rows = packed(texts, common, shift, wider).groupBy("bucket")
-    rows = rows.applyInPandas(lambda frame: repeated_in_bucket(frame, shift), REPEATED)
+    rows = rows.applyInArrow(lambda table: repeated_in_bucket(table, shift), REPEATED)
     # The rows of one set and hash may come from several batches.
     merged = rows.groupBy("hash", "high").agg(F.bit_or("flags").alias("flags"), F.max("lacking").alias("lacking"))
     names = least.select(F.col("high").alias("h"), F.col("n").cast("int"), F.col("least").alias("doc"))
@@ -583,9 +581,10 @@ def by_difference(lists: DataFrame, sets: TokenSets) -> DataFrame:
     in at most H = (a + b) / 7, at most a third of either size, so d(x) and d(y) differ by at most H, too.
     If d(x) + d(y) <= H, both are similar to the node with the least 7 d - n, so every node is paired with
     that one. Else D(x) and D(y) have at least (d(x) + d(y) - H) / 2 shingles in common, and the first of those,
-    in any order, has at most (d(x) - d(y) + H) / 2 before it in D(x), and likewise in D(y). The order is: shingles
-    that the pivot lacks, which are mostly rare, then its own. At least one of a pair lies outside the largest
-    component, whose nodes need list only what differences as large as those can meet.
+    in any order, has at most (d(x) - d(y) + H) / 2 before it in D(x), and likewise in D(y). The order is: those
+    in the fewest differences from the pivot first. Most are in one only; they take up places in the order, but
+    nothing can be met through them, so they are counted and not listed. At least one of a pair lies outside the
+    largest component, whose nodes need list only what differences as large as those can meet.
     """
     chosen = lists.join(pivots(lists), F.col("hash") == F.col("same"))
     chosen = stored(chosen.select(F.col("doc").alias("a"), F.col("pivot.doc").alias("b"), "label").distinct(), "from-pivots")
@@ -597,18 +596,17 @@ def by_difference(lists: DataFrame, sets: TokenSets) -> DataFrame:
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, apart, first = [], [], []
-            for x, y in zip(batch.column(3), batch.column(4)):
-                own, base = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                added = np.setdiff1d(own, base, assume_unique=True)
-                lost = np.setdiff1d(base, own, assume_unique=True)
-                sizes.append(len(own))
-                apart.append(len(added) + len(lost))
-                first.append(np.concatenate([np.sort(added), np.sort(lost)])[: len(own) // 3 + 1].view(np.int64))
-            made = [pa.array(sizes, pa.int64()), pa.array(apart, pa.int64()), pa.array(first, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *made], names=["doc", "pivot", "label", "n", "d", "tokens"]
-            )
+            for start in range(0, batch.num_rows, 1024):
+                part, sizes, apart = batch.slice(start, 1024), [], []
+                for x, y in zip(part.column(3), part.column(4)):
+                    own, base = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
+                    sizes.append(len(own))
+                    apart.append(np.setxor1d(own, base, assume_unique=True).view(np.int64))
+                lengths = pa.array([len(x) for x in apart], pa.int64())
+                made = [pa.array(sizes, pa.int64()), lengths, pa.array(apart, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], *made], names=["doc", "pivot", "label", "n", "d", "tokens"]
+                )
 
     schema = "doc bigint, pivot bigint, label bigint, n bigint, d bigint, tokens array<bigint>"
     nodes = stored(rows.select("a", "b", "label", "t_a", "t_b").mapInArrow(differ, schema), "differences")
@@ -627,10 +625,15 @@ def by_difference(lists: DataFrame, sets: TokenSets) -> DataFrame:
     placed = placed.withColumn("minor", F.col("label") != F.col("main"))
     # Twice the rank that a shingle may have: at most a third of the size more than d is above its partner's.
     reach = F.when(F.col("minor"), 2 * F.floor(F.col("n") / 3)).otherwise(F.col("d") - F.col("least") + F.floor(F.col("n") / 3))
-    listed = placed.where(reach >= 0).select(
-        "doc", "pivot", "label", "n", "d", "minor", reach.alias("reach"), F.posexplode("tokens").alias("rank", "token")
-    )
-    listed = stored(listed.where("2 * rank <= reach").drop("reach"), "prefixes")
+    placed = placed.withColumn("reach", reach).where("reach >= 0")
+    spread = placed.select("doc", "pivot", "label", "n", "d", "minor", "reach", F.explode("tokens").alias("token"))
+    shared = spread.groupBy(F.col("pivot").alias("same"), F.col("token").alias("often")).agg(F.count("*").alias("count"))
+    shared = stored(shared.where("count > 1"), "shared")
+    met = spread.join(shared, (F.col("pivot") == F.col("same")) & (F.col("token") == F.col("often")))
+    own = Window.partitionBy("pivot", "doc")
+    before = F.col("d") - F.count("*").over(own) + F.row_number().over(own.orderBy("count", "token")) - 1
+    listed = met.withColumn("rank", before).where("2 * rank <= reach")
+    listed = stored(listed.select("doc", "pivot", "label", "n", "d", "minor", "rank", "token"), "prefixes")
     low, high = (
         rows.select("pivot", "token", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "label", "n", "d", "minor", "rank")])
         for side, rows in (("a", listed.where("2 * rank <= floor(n / 3)")), ("b", listed))
