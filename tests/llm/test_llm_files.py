@@ -355,7 +355,7 @@ def test_pipeline_is_registered():
     queries = contract.queries()
     assert queries["pipeline"] is corpus_pipeline.run
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     stages = [f.__module__ for _, f in corpus_pipeline.STAGES]
     assert len(stages) == 5 and corpus_pipeline.ORACLE_SQL is None
 
