@@ -581,10 +581,11 @@ def by_difference(lists: DataFrame, sets: TokenSets) -> DataFrame:
     in at most H = (a + b) / 7, at most a third of either size, so d(x) and d(y) differ by at most H, too.
     If d(x) + d(y) <= H, both are similar to the node with the least 7 d - n, so every node is paired with
     that one. Else D(x) and D(y) have at least (d(x) + d(y) - H) / 2 shingles in common, and the first of those,
-    in any order, has at most (d(x) - d(y) + H) / 2 before it in D(x), and likewise in D(y). The order is: those
-    in the fewest differences from the pivot first. Most are in one only; they take up places in the order, but
-    nothing can be met through them, so they are counted and not listed. At least one of a pair lies outside the
-    largest component, whose nodes need list only what differences as large as those can meet.
+    in any order, has at most (d(x) - d(y) + H) / 2 before it in D(x), and likewise in D(y). The order is: shingles
+    that the pivot lacks, those in the fewest differences first, then its own. Most of the first are in one only;
+    they take up places in the order, but nothing can be met through them, so they are counted and not listed. At
+    least one of a pair lies outside the largest component, whose nodes need list only what differences as large
+    as those can meet.
     """
     chosen = lists.join(pivots(lists), F.col("hash") == F.col("same"))
     chosen = stored(chosen.select(F.col("doc").alias("a"), F.col("pivot.doc").alias("b"), "label").distinct(), "from-pivots")
@@ -597,18 +598,21 @@ def by_difference(lists: DataFrame, sets: TokenSets) -> DataFrame:
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
-                part, sizes, apart = batch.slice(start, 1024), [], []
+                part, sizes, apart, first, rest = batch.slice(start, 1024), [], [], [], []
                 for x, y in zip(part.column(3), part.column(4)):
                     own, base = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
                     sizes.append(len(own))
-                    apart.append(np.setxor1d(own, base, assume_unique=True).view(np.int64))
-                lengths = pa.array([len(x) for x in apart], pa.int64())
-                made = [pa.array(sizes, pa.int64()), lengths, pa.array(apart, pa.list_(pa.int64()))]
+                    added = np.setdiff1d(own, base, assume_unique=True)
+                    lost = np.sort(np.setdiff1d(base, own, assume_unique=True))
+                    apart.append(len(added) + len(lost))
+                    first.append(added.view(np.int64))
+                    rest.append(lost[: max(0, len(own) // 3 + 1 - len(added))].view(np.int64))
+                made = [pa.array(x, pa.int64()) for x in (sizes, apart)] + [pa.array(x, pa.list_(pa.int64())) for x in (first, rest)]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], *made], names=["doc", "pivot", "label", "n", "d", "tokens"]
+                    [*part.columns[:3], *made], names=["doc", "pivot", "label", "n", "d", "added", "lost"]
                 )
 
-    schema = "doc bigint, pivot bigint, label bigint, n bigint, d bigint, tokens array<bigint>"
+    schema = "doc bigint, pivot bigint, label bigint, n bigint, d bigint, added array<bigint>, lost array<bigint>"
     nodes = stored(rows.select("a", "b", "label", "t_a", "t_b").mapInArrow(differ, schema), "differences")
     closest = nodes.groupBy(F.col("pivot").alias("same")).agg(
         F.min_by(F.struct("doc", "label"), F.struct(7 * F.col("d") - F.col("n"), "doc")).alias("center")
@@ -626,14 +630,18 @@ def by_difference(lists: DataFrame, sets: TokenSets) -> DataFrame:
     # Twice the rank that a shingle may have: at most a third of the size more than d is above its partner's.
     reach = F.when(F.col("minor"), 2 * F.floor(F.col("n") / 3)).otherwise(F.col("d") - F.col("least") + F.floor(F.col("n") / 3))
     placed = placed.withColumn("reach", reach).where("reach >= 0")
-    spread = placed.select("doc", "pivot", "label", "n", "d", "minor", "reach", F.explode("tokens").alias("token"))
+    columns = ["doc", "pivot", "label", "n", "d", "minor"]
+    spread = placed.select(*columns, "reach", F.size("added").alias("more"), F.explode("added").alias("token"))
     shared = spread.groupBy(F.col("pivot").alias("same"), F.col("token").alias("often")).agg(F.count("*").alias("count"))
     shared = stored(shared.where("count > 1"), "shared")
     met = spread.join(shared, (F.col("pivot") == F.col("same")) & (F.col("token") == F.col("often")))
     own = Window.partitionBy("pivot", "doc")
-    before = F.col("d") - F.count("*").over(own) + F.row_number().over(own.orderBy("count", "token")) - 1
-    listed = met.withColumn("rank", before).where("2 * rank <= reach")
-    listed = stored(listed.select("doc", "pivot", "label", "n", "d", "minor", "rank", "token"), "prefixes")
+    before = F.col("more") - F.count("*").over(own) + F.row_number().over(own.orderBy("count", "token")) - 1
+    pivots_own = placed.select(*columns, "reach", F.size("added").alias("more"), F.posexplode("lost").alias("place", "token"))
+    pivots_own = pivots_own.withColumn("rank", (F.col("more") + F.col("place")).cast("bigint"))
+    listed = met.withColumn("rank", before.cast("bigint")).select(*columns, "reach", "rank", "token")
+    listed = listed.unionByName(pivots_own.select(*columns, "reach", "rank", "token")).where("2 * rank <= reach")
+    listed = stored(listed.drop("reach"), "prefixes")
     low, high = (
         rows.select("pivot", "token", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "label", "n", "d", "minor", "rank")])
         for side, rows in (("a", listed.where("2 * rank <= floor(n / 3)")), ("b", listed))
