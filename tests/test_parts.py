@@ -171,6 +171,26 @@ def test_layers_built_in_parts_are_the_same(spark, folder, monkeypatch):
     assert not list(top.glob("*/part-of-*"))
 
 
+def test_raw_tables_take_one_part_at_a_time(spark, folder, lake, tmp_path):
+    """A part is stored before the next one is asked for, and each table is written once."""
+    stored = []
+
+    def source(feed):
+        for number in range(3):
+            place = Path(lake.root.removeprefix("file:")) / "files" / "raw" / feed
+            stored.append(len([f for f in place.glob("*/*.parquet") if f.stat().st_size]))
+            target = f"{tmp_path}/{feed}-{number}"
+            feeds.write_feed(retail.feed(spark, folder, feed, (number, 3)), target, feed, compression="gzip")
+            yield target
+
+    build.store_raw(spark, lake, source)
+    assert all(stored[k] < stored[k + 1] < stored[k + 2] for k in range(0, 3 * len(FEEDS), 3))
+    for feed in FEEDS:
+        whole = feeds.read_raw(spark, registry.delivered(spark, folder, feed), feed)
+        assert rows_of(lake.read(f"raw.{feed}")) == rows_of(whole), feed
+    assert {(r.version, r.rows) for r in lake.history("raw.sales").collect()} == {(0, lake.read("raw.sales").count())}
+
+
 def test_lost_values_of_all_parts_are_kept(spark, folder, lake, tmp_path):
     """A feed with lost values is asked for a second time, and each of its parts read again."""
     asked = []
